@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from quarry.llm.jaccard import op4_ngram_jaccard_join
 from quarry.llm.quality import op5_quality_rules
 from quarry.llm.sharding import op6_sharding
 from quarry.llm.tokens import op1_token_files, op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_token_counts, op5_quality_rules, op6_sharding)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_token_counts, op4_ngram_jaccard_join, op5_quality_rules, op6_sharding)}
 ORACLES: dict[str, str] = {}
