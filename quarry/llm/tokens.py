@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from quarry.llm import common as C
 
-#: Pieces that the byte-level pre-tokeniser never joins: a word with at most one space before it, or white space.
-_PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s")
-#: str.isspace() holds these for white space, the tokeniser does not.
-_ODD = re.compile("[\x1c-\x1f]")
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
+_TAIL = ".,!?;:#%$*&\"')"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library; each distinct piece of text is encoded once while cached."""
+    """Whole texts to ids with the tokenizers library, for byte-level vocabularies; each distinct piece is encoded once while cached.
+
+    The pre-tokeniser cuts before a single space that a word follows. So a text without two spaces in a row is
+    cut at its spaces, and its ids are those of its pieces, each with its space. New pieces are encoded as
+    one text; where each one's ids end follows from the tokens' bytes. Marks after letters are a pre-token of
+    their own, so "word," is " word" and ",". Other texts are encoded as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -31,24 +34,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 2, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)  # a byte-level token has a character for each byte
+        self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, new: list[str]) -> None:
+        text = " " + " ".join(new)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+        cuts = [0, *(4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()]
+        flat = ids.tobytes()
+        self.known.update(zip(new, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        known, tails = self.known, self.tails
         if len(known) > CACHE_PIECES:
             known.clear()
-        pieces = [None if _ODD.search(t) else _PIECE.findall(t) for t in texts]
-        new = list({p for some in pieces if some for p in some if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = e.ids
-        out = []
-        for t, some in zip(texts, pieces, strict=True):
-            if some is None:
-                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
+            tails.clear()
+        pieces = [None if "  " in t else t.split(" ") for t in texts]
+        new = set().union(*(some[1:] for some in pieces if some))
+        new.difference_update(known.keys())
+        if "" in new:
+            new.discard("")
+            known[""] = self.plain(" ")
+        whole, joined = set(), []
+        for p in new:
+            stem = p.rstrip(_TAIL)
+            if len(stem) < len(p) and stem.isalpha():
+                joined.append((p, stem, p[len(stem) :]))
+                if stem not in known:
+                    whole.add(stem)
             else:
-                ids = [i for p in some for i in known[p]]
-            out.append(np.array(ids, np.uint32))
-        return out
+                whole.add(p)
+        whole = list(whole)
+        for i in range(0, len(whole), 20_000):
+            self.learn(whole[i : i + 20_000])
+        for p, stem, tail in joined:
+            if tail not in tails:
+                tails[tail] = self.plain(tail)
+            known[p] = known[stem] + tails[tail]
+        get = known.__getitem__
+        return [self.plain(t) if some is None else self.plain(some[0]) + b"".join(map(get, some[1:])) for t, some in zip(texts, pieces, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -56,18 +90,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _batches_of_texts(column: pa.Array, chars: int = 1 << 20):
-    start, size, texts = 0, 0, column.to_pylist()
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= chars or i + 1 == len(texts):
-            yield start, [x or "" for x in texts[start : i + 1]]
-            start, size = i + 1, 0
+def _batches_of_texts(column: pa.Array, chars: int = 1 << 19):
+    """Whole texts (null as empty), some half a million bytes at a time, and the first one's row."""
+    texts = C.binary(column).cast(pa.large_string())
+    at = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() if len(texts) else []
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(at, (at[start - 1] if start else 0) + chars, side="right")))
+        yield start, texts.slice(start, end - start).to_pylist()
+        start = end
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", files: int | None = None) -> None:
     """Write (file, offset, key, n_tokens, tokens) in key order, a range of keys a file.
 
+    Where the input's partitions already hold disjoint ranges of keys, they stay; else rows are dealt by range.
+
     Small integers are packed: Parquet v2 pages, delta encoding for keys, offsets and lengths, a dictionary for
     ids while it fits its page; zstd; bounded row groups and pages, whose column indexes allow reads of a few
     pages by key. offset is the count of ids before the row in its file, so a reader of the narrow columns knows
@@ -75,18 +113,20 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     equal keys are in the order of their texts' hashes.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    files = files or max(rows.rdd.getNumPartitions(), 1)
-    dealt = rows.repartitionByRange(files, "key", F.xxhash64("text")).sortWithinPartitions("key", F.xxhash64("text"))
+    if files or not _in_ranges(docs.select(F.col(key).alias("key"))):
+        rows = rows.repartitionByRange(files or max(rows.rdd.getNumPartitions(), 1), "key", F.xxhash64("text"))
+    dealt = rows.sortWithinPartitions("key", F.xxhash64("text"))
 
     def encode(batches):
-        file = _partition_id()
+        file, last = _partition_id(), np.array([end_id], "<u4").tobytes()
         done = 0
         for b in batches:
             for start, texts in _batches_of_texts(b.column(1)):
-                ids = [np.append(x, np.uint32(end_id)).astype(np.int32) for x in encoder(tokenizer).encode(texts)]
-                n = np.array([len(x) for x in ids], np.int64)
+                ids = encoder(tokenizer).encode(texts)
+                n = np.array([len(x) // 4 + 1 for x in ids], np.int64)
                 ends = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(np.concatenate(ids)))
+                flat = np.frombuffer(last.join(ids) + last, "<i4")
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), file, np.int32)), pa.array(done + ends - n), b.column(0).slice(start, len(n)), pa.array(n), lists], ["file", "offset", "key", "n_tokens", "tokens"])
                 done += int(ends[-1])
 
@@ -99,6 +139,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     writer.options(**options).parquet(path)
 
 
+def _in_ranges(keys: DataFrame) -> bool:
+    """Whether no partition's keys reach into another's; from the key column alone, a row a partition."""
+    parts = keys.groupBy(F.spark_partition_id()).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count_if(F.col("key").isNull()).alias("nulls"))
+    found = sorted(parts.select("low", "high", "nulls").collect(), key=lambda r: (r.low is not None, r.low))
+    return all(not r.nulls for r in found) and all(a.high < b.low for a, b in zip(found, found[1:], strict=False))
+
+
 def _partition_id() -> int:
     from pyspark import TaskContext
 
@@ -111,8 +158,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     Only the files' totals are summed over (a row a file); every other column is read where it is used.
     """
     stored = spark.read.parquet(path)
-    totals = stored.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    base = totals.select("file", F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    totals = stored.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    before = W.orderBy(F.col("low").asc_nulls_first(), F.col("high").asc_nulls_first(), "file").rowsBetween(W.unboundedPreceding, -1)
+    base = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     joined = stored.join(F.broadcast(base), "file")  # a row a file
     return joined.select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "tokens")
 
