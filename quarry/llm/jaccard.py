@@ -7,7 +7,9 @@ The metric is the Jaccard distance; two documents link at a distance of at most
    lie among the first K(x) + L of x and K(y) + L of y, for L = min(L(x), L(y)). That window of x is where x is
    replicated. A document of whose window fewer than L shingles occur in any other window has no link.
 2. In each shingle's region the smallest remaining document is the pivot; a document goes to the regions of all
-   pivots of its window, so linked documents share at least one.
+   pivots of its window, so linked documents share at least one. It leaves the pivots of fewest shingles out as
+   long as these have at most (L - 1) / 2 of its shingles together: of the L shingles that linked documents
+   share in their windows, one is then still with a pivot that both keep.
 3. A region is joined recursively: documents among it are pivots of Voronoi cells, each document goes to the
    cell of the nearest and to all cells that are at most 2 eps farther, and cells are divided again until they
    are small or do not shrink. In a leaf, triangle inequality on the distances to the pivots and the ratio
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from quarry.llm import common as C
 from quarry.llm.components import components
@@ -297,7 +299,9 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
     likely = shared.groupBy("d1").agg(F.count(F.lit(1)).alias("seen"), F.first("n").alias("n")).where(F.col("seen") >= need).select("d1")
     alive = C.materialise(shared.join(likely, "d1"))
     pivots = alive.groupBy("g").agg(F.min("d1").alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "p")
-    pairs = C.materialise(alive.join(pivots, "g").select("p", "d1", "n").distinct())
+    held = alive.join(pivots, "g").groupBy("p", "d1").agg(F.count(F.lit(1)).alias("w"), F.first("n").alias("n"))
+    light = F.sum("w").over(W.partitionBy("d1").orderBy("w", "p"))
+    pairs = C.materialise(held.withColumn("upto", light).where(2 * F.col("upto") > need - 1).select("p", "d1", "n"))
     regions = pairs.groupBy("p").agg(F.ceil(F.sum("n") / MAX_REGION).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c")).where("c > 1").select("p", "blocks")
     # the sets of the documents in regions, from their texts
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
