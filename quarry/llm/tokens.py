@@ -40,10 +40,17 @@ class Encoder:
             self.n_bytes[i] = len(token)  # a byte-level token has a character for each byte
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def head(self, piece: str) -> bytes:
+        """The ids of a piece without a space before it."""
+        if piece not in self.heads:
+            self.heads[piece] = self.plain(piece)
+        return self.heads[piece]
+
     def learn(self, new: list[str]) -> None:
         text = " " + " ".join(new)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -59,9 +66,9 @@ class Encoder:
         if len(known) > CACHE_PIECES:
             known.clear()
             tails.clear()
+            self.heads.clear()
         pieces = [None if "  " in t else t.split(" ") for t in texts]
-        new = set().union(*(some[1:] for some in pieces if some))
-        new.difference_update(known.keys())
+        new = set().union(*(some[1:] for some in pieces if some)).difference(known)
         if "" in new:
             new.discard("")
             known[""] = self.plain(" ")
@@ -82,7 +89,7 @@ class Encoder:
                 tails[tail] = self.plain(tail)
             known[p] = known[stem] + tails[tail]
         get = known.__getitem__
-        return [self.plain(t) if some is None else self.plain(some[0]) + b"".join(map(get, some[1:])) for t, some in zip(texts, pieces, strict=True)]
+        return [self.plain(t) if some is None else self.head(some[0]) + b"".join(map(get, some[1:])) for t, some in zip(texts, pieces, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -90,8 +97,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _batches_of_texts(column: pa.Array, chars: int = 1 << 19):
-    """Whole texts (null as empty), some half a million bytes at a time, and the first one's row."""
+def _batches_of_texts(column: pa.Array, chars: int = 1 << 20):
+    """Whole texts (null as empty), about a million bytes at a time, and the first one's row."""
     texts = C.binary(column).cast(pa.large_string())
     at = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() if len(texts) else []
     start = 0
