@@ -1,6 +1,409 @@
-"""The registry's queries over the test tables, each with SQL that gives the same rows."""
+"""The registry's queries over the test tables, each with SQL that gives the same rows.
+
+The observation log is derived from events: one observation an event, the id from user_id, the text from a list of
+phrases by event_id. Arrays leave as joined strings.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from quarry.functions import patterns as P, text as X
+from quarry.operators import audit, queues, registry, rules
+from quarry.plans import examples as E
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def listed(values: list) -> str:
+    return "[" + ", ".join(q(v) if isinstance(v, str) else str(v).lower() for v in values) + "]"
+
+
+def picked(values: list, by: Column) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(by, F.lit(len(values))).cast("int"))
+
+
+def picked_sql(values: list, by: str) -> str:
+    return f"list_extract({listed(values)}, ({by} % {len(values)})::INT + 1)"
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    one = lambda c: F.array(c)
+    return e.select(
+        (F.col("user_id") + 1).alias("github_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("stamp"), F.unix_micros(F.col("ts").cast("timestamp")).cast("string").alias("observed_at"), F.when(F.col("event_type").isin("error", "view"), 0).otherwise(1).alias("rank"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("canonical"), F.concat(F.lit("own"), (F.col("user_id") % 7).cast("string"), F.lit("/repo"), F.col("user_id").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("full_name"), picked(E.PHRASES, F.col("event_id")).alias("description"), F.array().cast("array<string>").alias("topics"), (F.col("event_id") % 5 == 0).alias("fork"),
+        one(F.col("event_type")).alias("query_ids"), one(F.concat(F.lit("d"), (F.col("event_id") % 5).cast("string"))).alias("domains"), one(F.concat(F.lit("Some  Method_"), (F.col("event_id") % 3).cast("string"))).alias("methods"),
+        one(F.lit("seen")).alias("novelty_signals"), F.when(F.col("event_id") % 11 == 0, one(F.concat(F.lit("p"), (F.col("event_id") % 4).cast("string")))).otherwise(F.array().cast("array<string>")).alias("paper_ids"), "event_id", "event_type",
+    )
+
+
+LOG = f"""log AS (SELECT user_id + 1 AS github_id, epoch_us(ts) AS stamp, CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE 1 END AS rank, lpad(event_id::VARCHAR, 12, '0') AS canonical,
+  'own' || (user_id % 7) || '/repo' || user_id AS name, {picked_sql(E.PHRASES, "event_id")} AS description, event_id % 5 = 0 AS fork, event_type, 'd' || (event_id % 5) AS dom,
+  'some-method-' || (event_id % 3) AS met, CASE WHEN event_id % 11 = 0 THEN 'p' || (event_id % 4) END AS paper, event_id FROM events)"""
+
+
+def re2(patterns: list[str] | str, text: str) -> str:
+    some = [patterns] if isinstance(patterns, str) else patterns
+    return f"regexp_matches({text}, {q('(?i)' + '|'.join(f'(?:{p})' for p in some))})"
+
+
+def tags_sql(pairs: list[tuple[str, str]]) -> str:
+    """The labels whose conditions hold, sorted and joined."""
+    return "coalesce(array_to_string(list_sort(list_filter([" + ", ".join(f"CASE WHEN {c} THEN {q(k)} END" for k, c in pairs) + "], lambda x: x IS NOT NULL)), '|'), '')"
+
+
+_DIRECT = tags_sql([(k, re2(p, "t")) for k, p in P.DIRECT_TEXT.items()])
+_RELATED = tags_sql([(k, re2(p, "t")) for k, p in P.RELATED_TEXT.items()])
+RELEVANCE = f"CASE WHEN {_DIRECT} <> '' THEN 'direct_ml_text' WHEN {_RELATED} <> '' THEN 'ml_related_text' ELSE 'no_text_signal' END"
+DOMAIN_SQL = tags_sql([(k, re2(p, "c")) for k, p in P.DOMAINS.items()])
+METHOD_SQL = tags_sql([(t.replace(" ", "-"), re2("(^|[^a-z0-9])" + t.replace(" ", r"\s+") + ("s?" if t.endswith("network") else "") + "($|[^a-z0-9])", "c")) for t in P.METHOD_TERMS])
+join = lambda c: F.concat_ws("|", c)
+
+
+@query(f"""WITH {LOG}, best AS (SELECT github_id, arg_max(name, row(rank, stamp, canonical)) AS name, arg_max(description, row(rank, stamp, canonical)) AS description,
+  count(*) AS observation_count, min(stamp)::VARCHAR AS first_observed_at, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS all_query_ids, array_to_string(list_sort(list(DISTINCT met)), '|') AS all_methods FROM log GROUP BY 1),
+ x AS (SELECT *, name || chr(10) || description AS t FROM best)
+SELECT github_id, name, observation_count, first_observed_at, all_query_ids, all_methods, {RELEVANCE} AS evidence_tier FROM x""")
+def current_registry(spark, sf_dir):
+    """Log to registry by relevance tier: the flagship."""
+    rows = log(spark, sf_dir)
+    view = registry.latest_by_precedence(rows).join(registry.first_seen(rows), "github_id").join(registry.label_unions(rows), "github_id")
+    return rules.relevance(view).select("github_id", "name", "observation_count", "first_observed_at", join("all_query_ids").alias("all_query_ids"), join("all_methods").alias("all_methods"), "evidence_tier")
+
+
+@query(f"WITH {LOG} SELECT github_id, arg_max(event_id, row(rank, stamp, canonical)) AS event_id, arg_max(description, row(rank, stamp, canonical)) AS description FROM log GROUP BY 1")
+def latest_by_precedence(spark, sf_dir):
+    return registry.latest_by_precedence(log(spark, sf_dir)).select("github_id", "event_id", "description")
+
+
+@query(f"WITH {LOG} SELECT github_id, min(stamp)::VARCHAR AS first_observed_at, count(*) AS observation_count FROM log GROUP BY 1")
+def first_seen(spark, sf_dir):
+    return registry.first_seen(log(spark, sf_dir))
+
+
+@query(f"""WITH {LOG}, u AS (SELECT github_id, list_sort(list(DISTINCT event_type)) AS a, list_sort(list(DISTINCT dom)) AS b, list_sort(list(DISTINCT met)) AS c, list_sort(list(DISTINCT paper) FILTER (paper IS NOT NULL)) AS d FROM log GROUP BY 1)
+SELECT github_id, array_to_string(a, '|') AS all_query_ids, array_to_string(b, '|') AS all_domains, array_to_string(c, '|') AS all_methods, 'seen' AS all_novelty_signals, coalesce(array_to_string(d, '|'), '') AS paper_ids FROM u""")
+def label_unions(spark, sf_dir):
+    return registry.label_unions(log(spark, sf_dir)).select("github_id", *[join(c).alias(c) for c in registry.LABELS.values()])
+
+
+@query(f"""WITH {LOG}, best AS (SELECT github_id, arg_max(name, row(rank, stamp, canonical)) AS name FROM log GROUP BY 1),
+ ev AS (SELECT c_custkey AS github_id, CASE WHEN c_custkey % 3 = 0 THEN 'OWN' || ((c_custkey - 1) % 7) || '/Repo' || (c_custkey - 1) ELSE c_name END AS fetched, CASE WHEN c_custkey % 2 = 0 THEN 'ok' ELSE 'missing' END AS st FROM customer)
+SELECT b.github_id, fetched AS readme_repository_name_at_fetch, CASE WHEN st IS NULL THEN NULL WHEN lower(name) <> lower(fetched) THEN 'stale_name' ELSE st END AS readme_status FROM best b LEFT JOIN ev USING (github_id)""")
+def evidence_overlay(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    own = F.concat(F.lit("OWN"), ((key - 1) % 7).cast("string"), F.lit("/Repo"), (key - 1).cast("string"))
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("readme_etag", "string"), ("readme_blob_sha", "string"), ("readme_evidence_version", "string"), ("readme_signals", "array<string>"), ("readme_sections", "array<string>"), ("readme_checked_at", "string"))]
+    ev = c.select(key.alias("github_id"), F.when(key % 3 == 0, own).otherwise(F.col("c_name")).alias("repository_name_at_fetch"), F.when(key % 2 == 0, "ok").otherwise("missing").alias("readme_status"), F.lit("x").alias("observed_at"), F.lit(1).alias("stamp"), F.lit("").alias("canonical"), *none)
+    out = registry.overlay_evidence(registry.latest_by_precedence(log(spark, sf_dir)), ev)
+    return out.select("github_id", "readme_repository_name_at_fetch", "readme_status")
+
+
+@query(f"WITH {LOG} SELECT event_id, github_id FROM log WHERE fork IS NOT DISTINCT FROM false")
+def nonfork_view(spark, sf_dir):
+    rows = log(spark, sf_dir).withColumns({"selection_status": F.lit(None).cast("string"), "candidate_eligible": F.lit(None).cast("boolean")})
+    return registry.views(rows)["repositories"].select("event_id", "github_id")
+
+
+@query(f"WITH {LOG}, x AS (SELECT event_id, name || chr(10) || description AS t FROM log) SELECT event_id, {RELEVANCE} AS evidence_tier, {_DIRECT} AS direct, {_RELATED} AS related FROM x")
+def relevance_tier(spark, sf_dir):
+    out = rules.relevance(log(spark, sf_dir))
+    of = lambda names: join(F.filter("evidence_signals", lambda s: s.isin(*names)))
+    return out.select("event_id", "evidence_tier", of(P.DIRECT_TEXT).alias("direct"), of(P.RELATED_TEXT).alias("related"))
+
+
+@query(f"WITH {LOG}, x AS (SELECT event_id, lower(replace(replace(concat_ws(' ', name, description), '-', ' '), '_', ' ')) AS c FROM log) SELECT event_id, {DOMAIN_SQL} AS domains, {METHOD_SQL} AS methods FROM x")
+def repository_labels(spark, sf_dir):
+    return rules.labels(log(spark, sf_dir)).select("event_id", join("domains").alias("domains"), join("methods").alias("methods"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part")
+def method_slug(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", X.method_slug(F.concat_ws(" ", "p_name", "p_type")).alias("slug"))
+
+
+@query(f"""WITH {LOG}, x AS (SELECT event_id, concat_ws(' ', name, '', description, '') AS p, lower(replace(replace(concat_ws(' ', name, description), '-', ' '), '_', ' ')) AS c FROM log)
+SELECT event_id, CASE WHEN {re2(P.CANDIDATE_TERMS, "replace(p, '-', ' ')")} OR {DOMAIN_SQL} <> '' OR {METHOD_SQL} <> '' THEN 'candidate' WHEN length(trim(p)) < 12 OR {re2(P.BARE_ABBREVIATION, "p")} THEN 'unknown' ELSE 'not_candidate' END AS candidate_status FROM x""")
+def decision_three_way(spark, sf_dir):
+    return rules.decision(log(spark, sf_dir)).select("event_id", "candidate_status")
+
+
+def examples(spark, sf_dir) -> DataFrame:
+    """events with the example repository of each (a small dimension, joined by its number)."""
+    rows = [(i, n, d, t, f, "ok" if s else None, s, sec, P.README_VERSION) for i, (n, d, t, f, s, sec, *_) in enumerate(E.REPOSITORIES)]
+    dim = spark.createDataFrame(rows, "i int, name string, description string, topics array<string>, fork boolean, readme_status string, readme_signals array<string>, readme_sections array<string>, readme_evidence_version string")
+    return table(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(len(rows))).cast("int").alias("i")).join(F.broadcast(dim), "i")
+
+
+_STATUS, _REASON = [r[6] for r in E.REPOSITORIES], [r[7] for r in E.REPOSITORIES]
+
+
+@query(f"SELECT event_id, {picked_sql(_STATUS, 'event_id')} AS selection_status, {picked_sql(_REASON, 'event_id')} AS selection_reason FROM events")
+def selector_status(spark, sf_dir):
+    return rules.select(examples(spark, sf_dir)).select("event_id", "selection_status", "selection_reason")
+
+
+@query(f"""WITH s AS (SELECT {picked_sql(_STATUS, "event_id")} AS status, {picked_sql(_REASON, "event_id")} AS reason FROM events)
+SELECT 'reason' AS kind, reason AS label, count(*) AS n FROM s GROUP BY ALL UNION ALL SELECT 'status', status, count(*) FROM s GROUP BY ALL""")
+def selector_summary(spark, sf_dir):
+    return registry.selection_summary(rules.select(examples(spark, sf_dir)))
+
+
+@query(f"SELECT event_id, {picked_sql([r[8] for r in E.REPOSITORIES], 'event_id')} AS candidate_eligible, {picked_sql([r[9] for r in E.REPOSITORIES], 'event_id')} AS candidate_reason FROM events")
+def candidate_eligibility(spark, sf_dir):
+    return rules.candidate(rules.relevance(rules.select(examples(spark, sf_dir)))).select("event_id", "candidate_eligible", "candidate_reason")
+
+
+@query(f"SELECT event_id FROM events WHERE {picked_sql(_STATUS, 'event_id')} = 'include'")
+def include_view(spark, sf_dir):
+    rows = rules.select(examples(spark, sf_dir)).withColumn("candidate_eligible", F.lit(None).cast("boolean"))
+    return registry.views(rows)["current"].select("event_id")
+
+
+@query(f"SELECT event_id FROM events WHERE {picked_sql([r[8] for r in E.REPOSITORIES], 'event_id')}")
+def candidate_view(spark, sf_dir):
+    return registry.views(rules.candidate(rules.relevance(rules.select(examples(spark, sf_dir)))))["candidates"].select("event_id")
+
+
+@query(f"SELECT event_id, {picked_sql([c for _, c in E.CONTENT], 'event_id')} AS cues FROM events")
+def probable_content(spark, sf_dir):
+    text = picked([t for t, _ in E.CONTENT], F.col("event_id"))
+    return table(spark, sf_dir, "events").select("event_id", join(rules.probable_content(text)).alias("cues"))
+
+
+@query(f"SELECT event_id, {picked_sql([s for _, s, _ in E.READMES], 'event_id')} AS signals, {picked_sql([s for *_, s in E.READMES], 'event_id')} AS sections FROM events")
+def readme_evidence(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", picked([t for t, _, _ in E.READMES], F.col("event_id")).alias("text"))
+    return rules.readme_evidence(rows).select("event_id", join("readme_signals").alias("signals"), join("readme_sections").alias("sections"))
+
+
+@query("SELECT event_id, abs(0 - (23 + event_id % 80)) <= 48 AS near FROM events")
+def span_proximity(spark, sf_dir):
+    """Whether a method's name, somewhere after a claim, is within 48 characters of it."""
+    text = F.concat(F.lit("claim"), F.repeat(F.lit("-"), (F.lit(23) + F.col("event_id") % 80).cast("int")), F.lit("mamba"))
+    return table(spark, sf_dir, "events").select("event_id", X.span_touches(text, r"mamba", F.lit(-48), F.lit(5 + 48)).alias("near"))
+
+
+@query("""WITH t AS (SELECT c_custkey, (c_custkey % 7)::INT AS tier FROM customer), k AS (SELECT *, row_number() OVER (PARTITION BY tier ORDER BY c_custkey <= CASE WHEN tier = 1 THEN 40 WHEN tier = 3 THEN 1000000 ELSE 0 END, c_custkey) AS r FROM t WHERE tier < 6)
+SELECT c_custkey, tier, row_number() OVER (ORDER BY r, tier) - 1 AS position FROM k QUALIFY position < 500""")
+def readme_queue_round_robin(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 7 < 6, F.col("c_custkey") % 7).cast("int").alias("tier"))
+    return queues.tier_round_robin(c, "tier", "c_custkey", {1: 40, 3: 1_000_000}, 500).select("c_custkey", "tier", F.col("position").cast("long").alias("position"))
+
+
+@query("""WITH k AS (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part) SELECT p_partkey, row_number() OVER (ORDER BY r, p_brand) - 1 AS position FROM k QUALIFY position < 300""")
+def round_robin_interleave(spark, sf_dir):
+    out = queues.interleave(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("p_brand"), "p_partkey", 300)
+    return out.select("p_partkey", F.col("position").cast("long").alias("position"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey <= 777, o_orderkey LIMIT 250")
+def rotating_slice(spark, sf_dir):
+    return queues.rotating_slice(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 777, 250)
+
+
+@query("""WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'retry' ELSE 'failed' END AS pool FROM orders), n AS (SELECT count(*) FILTER (pool = 'retry') AS nr, count(*) FILTER (pool = 'failed') AS nf FROM p),
+ a AS (SELECT nr, nf, least(nr, 51) AS qr, least(nf, 50) AS qf FROM n), b AS (SELECT qr + least(nr - qr, 101 - qr - qf) AS wr, qf, nf, 101 - qr - qf - least(nr - qr, 101 - qr - qf) AS rest FROM a),
+ k AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY o_orderkey <= CASE WHEN pool = 'retry' THEN 200 ELSE 0 END, o_orderkey) AS r FROM p)
+SELECT o_orderkey, pool FROM k, b WHERE r <= CASE WHEN pool = 'retry' THEN wr ELSE qf + least(nf - qf, rest) END""")
+def two_pool_quota(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, "retry").otherwise("failed").alias("pool"))
+    return queues.two_pool_quota(o, "pool", "o_orderkey", ["retry", "failed"], 101, {"retry": 200})
+
+
+@query("""WITH y AS (SELECT DISTINCT year(o_orderdate)::INT AS y FROM orders), s AS (SELECT n_name AS spec, n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS r FROM nation)
+SELECT y, spec, row_number() OVER (ORDER BY y DESC, r, n_regionkey) - 1 AS position FROM y, s WHERE NOT (y = 1995 AND spec LIKE 'A%')""")
+def year_query_grid(spark, sf_dir):
+    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"))
+    specs = table(spark, sf_dir, "nation").select(F.col("n_name").alias("spec"), "n_regionkey")
+    done = specs.where("spec LIKE 'A%'").select(F.lit(1995).alias("y"), "spec")
+    out = queues.year_grid(years, specs, done, "y", "spec", F.col("n_regionkey"))
+    return out.select("y", "spec", F.col("position").cast("long").alias("position"))
+
+
+@query("""WITH r AS (SELECT s_suppkey AS id, 'Name ' || (s_suppkey % 97) AS name FROM supplier), n AS (SELECT lower(name) AS n, min(id) AS id FROM r GROUP BY 1 HAVING count(DISTINCT id) = 1)
+SELECT c_custkey, id AS github_id FROM customer LEFT JOIN n ON n.n = 'name ' || (c_custkey % 120)""")
+def link_name_join(spark, sf_dir):
+    r = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("github_id"), F.concat(F.lit("Name "), (F.col("s_suppkey") % 97).cast("string")).alias("name"))
+    links = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("NAME "), (F.col("c_custkey") % 120).cast("string")).alias("normalized_repo_name"))
+    return registry.link_by_name(links, r).select("c_custkey", "github_id")
+
+
+@query("SELECT lower('Name ' || (s_suppkey % 7)) AS name, count(DISTINCT s_suppkey) AS ids FROM supplier GROUP BY 1 HAVING count(DISTINCT s_suppkey) > 1")
+def ambiguous_names(spark, sf_dir):
+    r = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("github_id"), F.concat(F.lit("Name "), (F.col("s_suppkey") % 7).cast("string")).alias("name"))
+    return registry.ambiguous_names(r)
+
+
+@query("SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag || l_linestatus) > 1")
+def conflict_detection(spark, sf_dir):
+    return registry.conflicts(table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("canonical")), "l_orderkey")
+
+
+FRAME = "f AS (SELECT d.doc_id, CASE WHEN d.n_chars % 3 = 0 THEN 'include' WHEN d.n_chars % 3 = 1 THEN 'review' ELSE 'exclude' END AS status, quality FROM documents d JOIN labels l USING (doc_id))"
+
+
+def frame(spark, sf_dir) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
+    status = F.when(F.col("n_chars") % 3 == 0, "include").when(F.col("n_chars") % 3 == 1, "review").otherwise("exclude")
+    return d.select(F.col("doc_id").alias("github_id"), status.alias("selection_status"), "quality")
+
+
+@query(f"WITH {FRAME}, n AS (SELECT status, count(*) AS population FROM f GROUP BY 1) SELECT status AS selection_status, population, 7 AS sample, 7 / population AS probability, population / 7 AS weight FROM n")
+def strata_weights(spark, sf_dir):
+    return audit.strata(frame(spark, sf_dir), dict.fromkeys(audit.STATUSES, 7))
+
+
+def _judged(spark, sf_dir):
+    f = frame(spark, sf_dir)
+    weight = F.when(F.col("selection_status") == "include", 2.0).when(F.col("selection_status") == "review", 5.0).otherwise(0.5)
+    kind = F.when(F.col("github_id") % 4 == 0, "challenge").otherwise("probability")
+    key = f.select(F.col("github_id").alias("case_id"), "selection_status", kind.alias("sample_kind"), weight.alias("weight"))
+    label = F.when(F.col("github_id") % 10 == 0, "uncertain").when(F.col("quality") == 1, "yes").otherwise("no")
+    other = F.when(F.col("github_id") % 6 == 0, "no").otherwise(label)
+    ann = f.select(F.col("github_id").alias("case_id"), label.alias("adjudicated_label"), F.struct(label.alias("label")).alias("annotator_1"), F.struct(other.alias("label")).alias("annotator_2"))
+    return ann, key
+
+
+_JUDGED = f"""{FRAME}, j AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 'challenge' ELSE 'probability' END AS kind, CASE status WHEN 'include' THEN 2.0 WHEN 'review' THEN 5.0 ELSE 0.5 END AS w,
+  CASE WHEN doc_id % 10 = 0 THEN 'uncertain' WHEN quality = 1 THEN 'yes' ELSE 'no' END AS label FROM f), i AS (SELECT *, CASE WHEN doc_id % 6 = 0 THEN 'no' ELSE label END AS label2 FROM j)"""
+
+
+@query(f"""WITH {_JUDGED}, s AS (SELECT count(*) FILTER (kind = 'probability') AS n, count(*) FILTER (kind = 'probability' AND label = 'uncertain') AS uncertain, count(*) FILTER (kind = 'probability' AND label <> label2) AS disagreements,
+  count(*) FILTER (kind = 'challenge') AS challenge_n, coalesce(sum(w) FILTER (kind = 'probability' AND status = 'include' AND label = 'yes'), 0)::DOUBLE AS tp, coalesce(sum(w) FILTER (kind = 'probability' AND status = 'include' AND label = 'no'), 0)::DOUBLE AS fp,
+  coalesce(sum(w) FILTER (kind = 'probability' AND status <> 'include' AND label = 'yes'), 0)::DOUBLE AS fn FROM i) SELECT *, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall FROM s""")
+def weighted_precision_recall(spark, sf_dir):
+    return audit.score(*_judged(spark, sf_dir))
+
+
+@query(f"WITH {_JUDGED} SELECT status AS selection_status, label AS adjudicated_label, count(*) AS n FROM i WHERE kind = 'challenge' GROUP BY ALL")
+def status_label_contingency(spark, sf_dir):
+    return audit.contingency(*_judged(spark, sf_dir))
+
+
+@query("SELECT doc_id, substr(sha256('17:probability:' || doc_id), 1, 20) AS case_id FROM documents")
+def blinded_case_id(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.case_id(F.lit(17), F.lit("probability"), F.col("doc_id")).alias("case_id"))
+
+
+@query(f"SELECT page_id, {picked_sql([s for _, s, _ in E.ADDRESSES], 'page_id')} AS strict, {picked_sql([s for *_, s in E.ADDRESSES], 'page_id')} AS loose FROM pages")
+def url_normalize(spark, sf_dir):
+    url = picked([u for u, _, _ in E.ADDRESSES], F.col("page_id"))
+    none = F.lit("")
+    return table(spark, sf_dir, "pages").select("page_id", url.alias("u")).select("page_id", F.coalesce(X.strict_repository(F.col("u")), none).alias("strict"), F.coalesce(X.loose_repository(F.col("u")), none).alias("loose"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^https?://') AND NOT regexp_matches(url, '^https?://([^/]*[.])?example[.]org(/|$)') AS allowed FROM pages")
+def evidence_url_policy(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.evidence_url(F.col("url"), ("example.org",)).alias("allowed"))
+
+
+@query("SELECT sum(event_id % 3) AS enumerated, sum(user_id % 2) AS unknown_count, count(*) FILTER (event_type = 'error') AS not_candidate_count, count(*) FILTER (event_type = 'view') AS candidate_count FROM events")
+def coverage_rollup(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    one = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0).cast("long")
+    return registry.coverage_totals(e.select((F.col("event_id") % 3).alias("enumerated"), (F.col("user_id") % 2).alias("unknown_count"), one("error").alias("not_candidate_count"), one("view").alias("candidate_count")))
+
+
+@query("""WITH m AS (SELECT CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE event_type END AS b, event_type AS a FROM events), d AS (SELECT b AS status, -1 AS d FROM m WHERE a <> b UNION ALL SELECT a, 1 FROM m WHERE a <> b) SELECT status, sum(d) AS delta FROM d GROUP BY 1""")
+def decision_delta(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    before = e.select(F.col("event_id").alias("github_id"), F.when(F.col("event_id") % 4 == 0, "unknown").otherwise(F.col("event_type")).alias("status"))
+    return registry.decision_deltas(before, e.select(F.col("event_id").alias("github_id"), F.col("event_type").alias("status")))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l_returnflag = 'R')")
+def anti_pending(spark, sf_dir):
+    done = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return registry.pending(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), done, ["o_orderkey"])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'new' ELSE o_orderstatus END AS status FROM orders")
+def upsert_page(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    return registry.upsert(o, o.where("o_orderkey % 9 = 0").withColumn("status", F.lit("new")), ["o_orderkey"])
+
+
+@query("""SELECT coalesce(n.n_name, s.name) AS name, CASE WHEN s.name IS NULL THEN 'new' WHEN n.n_name IS NULL THEN 'retired' ELSE 'keep' END AS state
+FROM nation n FULL JOIN (SELECT n_name || CASE WHEN n_nationkey % 3 = 0 THEN '!' ELSE '' END AS name FROM nation) s ON n.n_name = s.name""")
+def catalog_reconcile(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), "n_nationkey")
+    saved = n.select(F.when(F.col("n_nationkey") % 3 == 0, F.concat("name", F.lit("!"))).otherwise(F.col("name")).alias("name"))
+    return registry.reconcile(n, saved, ["name"])
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_orderdate::DATE AS a, o_orderdate::DATE + (o_orderkey % 40)::INT AS b FROM orders), m AS (SELECT *, a + ((b - a) // 2)::INT AS mid FROM r)
+SELECT o_orderkey, a::VARCHAR AS range_start, CASE WHEN a < b THEN mid ELSE b END::VARCHAR AS range_end FROM m UNION ALL SELECT o_orderkey, (mid + 1)::VARCHAR, b::VARCHAR FROM m WHERE a < b""")
+def range_bisection(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("a")).withColumn("b", F.date_add("a", (F.col("o_orderkey") % 40).cast("int")))
+    h = o.select("o_orderkey", F.explode(X.halves(F.col("a"), F.col("b"))).alias("h"))
+    return h.select("o_orderkey", F.col("h.start").cast("string").alias("range_start"), F.col("h.end").cast("string").alias("range_end"))
+
+
+@query("SELECT o_orderkey, greatest(1, ceil(least(o_custkey, 1000) / 30))::INT AS pages FROM orders")
+def page_cap(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", X.page_cap(F.col("o_custkey"), 30).alias("pages"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE epoch_us(ts) - (event_id % 2) * 3600000000 END AS stamp FROM events")
+def iso_instants(spark, sf_dir):
+    """Times with an offset, and naive ones, which are refused."""
+    e = table(spark, sf_dir, "events")
+    zone = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 2 == 1, "+01:00").otherwise("Z")
+    return e.select("event_id", X.unix_micros(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), zone)).alias("stamp"))
+
+
+@query("SELECT sha256('[' || string_agg('{\"path\":\"' || p || '\",\"sha256\":\"' || h || '\"}', ',' ORDER BY p) || ']') AS fingerprint FROM (SELECT lang || '/' || source AS p, sha256(min(doc_id)::VARCHAR) AS h FROM documents GROUP BY 1)")
+def content_fingerprint(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").groupBy(F.concat_ws("/", "lang", "source").alias("path")).agg(F.sha2(F.min("doc_id").cast("string"), 256).alias("sha256"))
+    return registry.fingerprint(d)
+
+
+@query(f"WITH {LOG} SELECT github_id, arg_max(description, event_id) AS description, array_to_string(list_sort(list(DISTINCT event_type)), '|') AS topic_names FROM log GROUP BY 1")
+def topic_names_merge(spark, sf_dir):
+    rows = log(spark, sf_dir).select("github_id", "description", "event_id", F.col("query_ids").alias("topic_names"))
+    return registry.last_wins(rows, "github_id", "event_id", "topic_names").select("github_id", "description", join("topic_names").alias("topic_names"))
+
+
+@query(f"""WITH {LOG}, f AS (SELECT github_id, event_type, min(event_id) AS s FROM log GROUP BY ALL), o AS (SELECT github_id, string_agg(event_type, '|' ORDER BY s) AS labels FROM f GROUP BY 1)
+SELECT github_id, arg_min(description, event_id) AS description, any_value(labels) AS labels FROM log JOIN o USING (github_id) GROUP BY 1""")
+def first_wins_merge(spark, sf_dir):
+    rows = log(spark, sf_dir).select("github_id", "description", "event_id", "event_type")
+    return registry.first_wins(rows, "github_id", "event_id", "event_type").select("github_id", "description", join("labels").alias("labels"))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0 OR o_orderdate + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 365 DAY WHEN o_orderstatus = 'O' THEN INTERVAL 30 DAY ELSE INTERVAL 1 DAY END <= TIMESTAMP '1998-01-15 00:00:00'""")
+def due_again(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", 200).when(F.col("o_orderstatus") == "O", 404).otherwise(500)
+    rows = o.select("o_orderkey", F.lit("a").alias("name"), F.lit("a").alias("name_at_fetch"), (F.col("o_orderkey") % 5 != 0).alias("same_version"), status.alias("last_status"), F.col("o_orderdate").alias("read_at"))
+    return queues.due(rows, "1998-01-15 00:00:00").select("o_orderkey")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 4 <> 0 ORDER BY (n_nationkey - 9 + 25) % 25 LIMIT 1")
+def next_lane(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", (F.col("n_nationkey") % 4 == 0).alias("done"))
+    return queues.next_lane(n, "n_nationkey", "done", 9, 25).select("n_nationkey", "n_name")
+
+

@@ -129,7 +129,7 @@ def test_readme(spark):
     df = spark.createDataFrame([(0, README), (1, "A dataset.\n\nThe dataset again."), (2, None), (3, "# Course\nof course\n"), (4, "## Method ##\r\nx y")], "id long, text string")
     got = {r.id: r for r in rules.readme_evidence(df).collect()}
     assert got[0].readme_sections == ["citation", "other", "results"]
-    assert got[0].readme_signals == ["course-cue", "method-contribution", "ml-method-context", "model-training-artifact", "official-implementation-claim", "original-implementation", "paper-code-relationship", "paper-reference", "substantive-application-or-experiments", "survey-cue"]
+    assert got[0].readme_signals == ["course-cue", "method-contribution", "ml-method-context", "model-training-artifact", "original-implementation", "paper-code-relationship", "paper-reference", "substantive-application-or-experiments", "survey-cue"]
     assert got[1].readme_signals == ["dataset-only-cue"] and got[2].readme_signals == []
     assert got[3].readme_signals == [] and got[3].readme_sections == ["course"] and got[4].readme_sections == ["method"]
 
