@@ -87,7 +87,7 @@ SELECT github_id, name, observation_count, first_observed_at, all_query_ids, all
 def current_registry(spark, sf_dir):
     """Log to registry by relevance tier: the flagship."""
     rows = log(spark, sf_dir)
-    view = registry.latest_by_precedence(rows).join(registry.first_seen(rows), "github_id").join(registry.label_unions(rows), "github_id")
+    view = registry.latest_by_precedence(rows).drop("paper_ids").join(registry.first_seen(rows), "github_id").join(registry.label_unions(rows), "github_id")
     return rules.relevance(view).select("github_id", "name", "observation_count", "first_observed_at", join("all_query_ids").alias("all_query_ids"), join("all_methods").alias("all_methods"), "evidence_tier")
 
 
