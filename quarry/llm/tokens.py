@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from quarry.llm import common as C
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 280_000
 _TAIL = ".,!?;:#%$*&\"')"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 
@@ -25,7 +25,8 @@ class Encoder:
     The pre-tokeniser cuts before a single space that a word follows. So a text without two spaces in a row is
     cut at its spaces, and its ids are those of its pieces, each with its space. New pieces are encoded as
     one text; where each one's ids end follows from the tokens' bytes. Marks after letters are a pre-token of
-    their own, so "word," is " word" and ",". Other texts are encoded as they are.
+    their own, so "word," is " word" and ",". Other texts are encoded as they are. When CACHE_PIECES are known
+    they become the older generation, from which only those come back that are met again.
     """
 
     def __init__(self, path: str):
@@ -39,6 +40,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)  # a byte-level token has a character for each byte
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
@@ -62,29 +64,29 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        known, tails = self.known, self.tails
-        if len(known) > CACHE_PIECES:
-            known.clear()
-            tails.clear()
+        if len(self.known) > CACHE_PIECES:
+            self.older, self.known = self.known, {}
+            self.tails.clear()
             self.heads.clear()
+        known, older, tails = self.known, self.older, self.tails
         pieces = [None if "  " in t else t.split(" ") for t in texts]
         new = set().union(*(some[1:] for some in pieces if some)).difference(known)
+        met = [p for p in new if p in older]
+        known.update(zip(met, map(older.__getitem__, met), strict=True))
+        new.difference_update(met)
         if "" in new:
             new.discard("")
             known[""] = self.plain(" ")
-        whole, joined = set(), []
-        for p in new:
-            stem = p.rstrip(_TAIL)
-            if len(stem) < len(p) and stem.isalpha():
-                joined.append((p, stem, p[len(stem) :]))
-                if stem not in known:
-                    whole.add(stem)
-            else:
-                whole.add(p)
+        new = list(new)
+        stems = [p.rstrip(_TAIL) for p in new]
+        joined = [(p, s) for p, s in zip(new, stems, strict=True) if p != s and s.isalpha()]
+        plain = set(new).difference([p for p, _ in joined]) if joined else set(new)
+        whole = plain | {s for _, s in joined if s not in known}
         whole = list(whole)
         for i in range(0, len(whole), 20_000):
             self.learn(whole[i : i + 20_000])
-        for p, stem, tail in joined:
+        for p, stem in joined:
+            tail = p[len(stem) :]
             if tail not in tails:
                 tails[tail] = self.plain(tail)
             known[p] = known[stem] + tails[tail]
