@@ -7,11 +7,14 @@ of about two megabytes (a longer document is a chunk of its own, so no text is e
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,24 @@ _GRAM = U64(0xD6E8FEB86659FD93)
 _powers = np.ones(1, U64)
 
 
+def ready(spark: SparkSession) -> None:
+    """Send this package to the executors, unless the driver's folder or PYTHONPATH already gives it to them."""
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(root) in known or getattr(context, "_quarry_sent", False) or not (root / "quarry").is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="quarry-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/quarry_code.zip", "w") as z:
+        for f in sorted((root / "quarry").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(f"{folder}/quarry_code.zip")
+    context._quarry_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,6 +69,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def uri(path: str) -> str:
+    """A path as an address that both Spark and Arrow read; without a scheme it is local. file:/x becomes file:///x."""
+    if path.startswith("file:"):
+        return "file://" + "/" + path.removeprefix("file:").lstrip("/")
+    return path if "://" in path else f"file://{path}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -279,7 +279,7 @@ def repeated_spans(texts: DataFrame):
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = max(64, math.ceil(size / 6.4 / 12.5 / ENTRIES_PER_CELL))
     shards = max(64, math.ceil(size / 6.4 / 12.5 * 0.2 / CONTEXTS_PER_SHARD))
-    first, second = (C.fresh_dir(spark, f"repeats-{i}") for i in range(2))
+    first, second = (C.uri(C.fresh_dir(spark, f"repeats-{i}")) for i in range(2))
     kind = "pid long, kind string, blob binary"
 
     def count(batches):

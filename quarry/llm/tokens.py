@@ -10,13 +10,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from quarry.llm import common as C
 
 CACHE_PIECES = 280_000
 _TAIL = ".,!?;:#%$*&\"')"
-ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
+ROW_GROUP_BYTES, PAGE_BYTES = 24 << 20, 256 << 10
 
 
 class Encoder:
@@ -117,7 +118,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
     Small integers are packed: Parquet v2 pages, delta encoding for keys, offsets and lengths, a dictionary for
     ids while it fits its page; zstd; bounded row groups and pages, whose column indexes allow reads of a few
-    pages by key. offset is the count of ids before the row in its file, so a reader of the narrow columns knows
+    pages by key. A task writes its file under another name and renames it when whole. offset is the count of ids before the row in its file, so a reader of the narrow columns knows
     every position without the ids. Null and empty texts are the end id alone; null keys come first; rows with
     equal keys are in the order of their texts' hashes.
     """
@@ -125,10 +126,29 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     if files or not _in_ranges(docs.select(F.col(key).alias("key"))):
         rows = rows.repartitionByRange(files or max(rows.rdd.getNumPartitions(), 1), "key", F.xxhash64("text"))
     dealt = rows.sortWithinPartitions("key", F.xxhash64("text"))
+    fs, root = pafs.FileSystem.from_uri(path)
+    fs.create_dir(root, recursive=True)
 
     def encode(batches):
+        from pyspark import TaskContext
+
         file, last = _partition_id(), np.array([end_id], "<u4").tobytes()
-        done = 0
+        store, top = pafs.FileSystem.from_uri(path)
+        name, temporary = f"{top}/part-{file:06d}.parquet", f"{top}/_part-{file:06d}.{TaskContext.get().taskAttemptId()}"
+        writer, held, size, done, n_rows = None, [], 0, 0, 0
+
+        def flush():
+            nonlocal writer, held, size
+            table = pa.Table.from_batches(held)
+            if writer is None:
+                plain = {c: "DELTA_BINARY_PACKED" for c in ("file", "offset", "n_tokens")} | ({"key": "DELTA_BINARY_PACKED"} if pa.types.is_integer(table.schema.field("key").type) else {})
+                writer = pq.ParquetWriter(
+                    temporary, table.schema, filesystem=store, version="2.6", data_page_version="2.0", compression="zstd", use_dictionary=["tokens.list.element"], column_encoding=plain,
+                    data_page_size=PAGE_BYTES, dictionary_pagesize_limit=1 << 20, write_page_index=True,
+                )
+            writer.write_table(table, row_group_size=len(table))
+            held, size = [], 0
+
         for b in batches:
             for start, texts in _batches_of_texts(b.column(1)):
                 ids = encoder(tokenizer).encode(texts)
@@ -136,16 +156,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
                 ends = np.cumsum(n)
                 flat = np.frombuffer(last.join(ids) + last, "<i4")
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), file, np.int32)), pa.array(done + ends - n), b.column(0).slice(start, len(n)), pa.array(n), lists], ["file", "offset", "key", "n_tokens", "tokens"])
-                done += int(ends[-1])
-
-    kind = rows.schema["key"].dataType.simpleString()
-    writer = dealt.mapInArrow(encode, f"file int, offset long, key {kind}, n_tokens long, tokens array<int>").write
-    options = {
-        "compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": str(ROW_GROUP_BYTES), "parquet.page.size": str(PAGE_BYTES), "parquet.page.row.count.limit": str(PAGE_ROWS),
-        "parquet.enable.dictionary": "false", "parquet.enable.dictionary#tokens.list.element": "true", "parquet.dictionary.page.size": str(1 << 20),
-    }
-    writer.options(**options).parquet(path)
+                held.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(n), file, np.int32)), pa.array(done + ends - n), b.column(0).slice(start, len(n)), pa.array(n), lists], ["file", "offset", "key", "n_tokens", "tokens"]))
+                done, size, n_rows = done + int(ends[-1]), size + 4 * len(flat), n_rows + len(n)
+                if size >= ROW_GROUP_BYTES:
+                    flush()
+        if held:
+            flush()
+        if writer is not None:
+            writer.close()
+            store.move(temporary, name)
+        yield pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), pa.array([n_rows], pa.int64())], ["file", "rows"])
+
+    written = dealt.mapInArrow(encode, "file int, rows long").agg(F.sum("rows")).first()[0]
+    if not written:  # a dataset without files has no schema that Spark could read
+        kind = rows.schema["key"].dataType.simpleString()
+        docs.sparkSession.createDataFrame([], f"file int, offset long, key {kind}, n_tokens long, tokens array<int>").write.mode("append").parquet(path)
 
 
 def _in_ranges(keys: DataFrame) -> bool:
@@ -167,33 +192,50 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     Only the files' totals are summed over (a row a file); every other column is read where it is used.
     """
     stored = spark.read.parquet(path)
-    totals = stored.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
-    before = W.orderBy(F.col("low").asc_nulls_first(), F.col("high").asc_nulls_first(), "file").rowsBetween(W.unboundedPreceding, -1)
-    base = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = _bases(stored)
     joined = stored.join(F.broadcast(base), "file")  # a row a file
     return joined.select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "tokens")
 
 
-def with_crc(tokens: DataFrame) -> DataFrame:
-    """ids_crc32 in place of tokens: the checksum of the ids as little-endian unsigned 32-bit integers."""
+def _bases(stored: DataFrame) -> DataFrame:
+    """(file, base): the count of ids in all files before."""
+    totals = stored.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    before = W.orderBy(F.col("low").asc_nulls_first(), F.col("high").asc_nulls_first(), "file").rowsBetween(W.unboundedPreceding, -1)
+    return totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
+def digests(spark: SparkSession, path: str) -> DataFrame:
+    """(key, start, n_tokens, ids_crc32) read back from the files, a row group at a time: the checksum is that of
+    the ids as little-endian unsigned 32-bit integers."""
+    fs, root = pafs.FileSystem.from_uri(path)
+    files = [f.base_name for f in fs.get_file_info(pafs.FileSelector(root)) if f.is_file and f.base_name.endswith(".parquet") and not f.base_name.startswith(("_", "."))]
+    base = _bases(spark.read.parquet(path))
+    kind = spark.read.parquet(path).schema["key"].dataType.simpleString()
+    names = spark.createDataFrame([(f,) for f in files], "name string").repartition(max(1, min(len(files), 4096)), "name")
 
-    def crc(batches):
+    def read(batches):
+        store, top = pafs.FileSystem.from_uri(path)
         for b in batches:
-            lists = b.column(3)
-            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            sums = [zlib.crc32(flat[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sums, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
+            for name in b.column(0).to_pylist():
+                with store.open_input_file(f"{top}/{name}") as source:
+                    stored = pq.ParquetFile(source)
+                    for g in range(stored.num_row_groups):
+                        for part in stored.read_row_group(g, use_threads=False).to_batches():
+                            lists = part.column("tokens")
+                            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
+                            sums = [zlib.crc32(flat[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+                            yield pa.RecordBatch.from_arrays([part.column("file"), part.column("offset"), part.column("key"), part.column("n_tokens"), pa.array(sums, pa.int64())], ["file", "offset", "key", "n_tokens", "ids_crc32"])
 
-    kind = tokens.schema["key"].dataType.simpleString()
-    return tokens.mapInArrow(crc, f"key {kind}, start long, n_tokens long, ids_crc32 long")
+    found = names.mapInArrow(read, f"file int, offset long, key {kind}, n_tokens long, ids_crc32 long")
+    return found.join(F.broadcast(base), "file").select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op1_token_files(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    path = C.fresh_dir(spark, "tokens")
+    path = C.uri(C.fresh_dir(spark, "tokens"))
     write_tokens(C.table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return with_crc(read_tokens(spark, path)).withColumnRenamed("key", "doc_id")
+    return digests(spark, path).withColumnRenamed("key", "doc_id")
 
 
 # Flat files of ids: nothing but little-endian integers, each document followed by the separator.
@@ -220,7 +262,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int = SEPA
     A task writes under a name of its own and renames when done, so a task that runs twice leaves one whole file.
     The files know nothing of keys; which document is the n-th of a file is in the returned rows alone.
     """
-    fs, root = pafs.FileSystem.from_uri(path if "://" in path or path.startswith(("file:", "/")) else f"file://{path}")
+    fs, root = pafs.FileSystem.from_uri(path)
     fs.create_dir(root, recursive=True)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
@@ -311,7 +353,7 @@ def op3_token_counts(spark, sf_dir: str, tokenizer: str | None = None) -> DataFr
     """Token counts of all documents, found in flat files alone: (doc_id, file, ordinal, start, n_tokens, ended)."""
     import public_tokenizers
 
-    path = C.fresh_dir(spark, "flat")
-    path = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    path = C.uri(C.fresh_dir(spark, "flat"))
     order = write_flat(C.table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return count_tokens(spark, path).join(order, ["file", "ordinal"]).select(F.col("key").alias("doc_id"), "file", "ordinal", "start", "n_tokens", "ended")
+    # a checkpoint has no size that the planner could trust, so the join is told not to broadcast
+    return count_tokens(spark, path).join(order.hint("merge"), ["file", "ordinal"]).select(F.col("key").alias("doc_id"), "file", "ordinal", "start", "n_tokens", "ended")

@@ -110,13 +110,13 @@ def test_encoded_pages_have_indexes_and_encodings(spark, tmp_path):
 
     P = pytest.importorskip("public_tokenizers")
     df = spark.createDataFrame([(i, "some words here " * 20) for i in range(500)], "doc_id long, text string")
-    tokens.write_tokens(df, f"{tmp_path}/t", P.path("byte_bpe_50k.json"), 2, files=1)
+    tokens.write_tokens(df, f"file://{tmp_path}/t", P.path("byte_bpe_50k.json"), 2, files=1)
     (file,) = (tmp_path / "t").glob("*.parquet")
     meta = pq.read_metadata(file).row_group(0)
     by = {meta.column(i).path_in_schema: meta.column(i) for i in range(meta.num_columns)}
     assert any("DICTIONARY" in e for e in by["tokens.list.element"].encodings)
     assert "DELTA_BINARY_PACKED" in by["key"].encodings and by["key"].has_column_index
-    picked = tokens.read_tokens(spark, f"{tmp_path}/t").where("key = 7").select("start", "n_tokens").first()
+    picked = tokens.read_tokens(spark, f"file://{tmp_path}/t").where("key = 7").select("start", "n_tokens").first()
     assert picked.start == 7 * picked.n_tokens
 
 
