@@ -12,26 +12,31 @@ from quarry.llm import common, decontamination, jaccard, mixing, quality, shardi
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or whose host is rejected."""
+    common.ready(spark)
     return quality.keep_good(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked at a similarity of 0.8 over five-word shingles, keep the smallest doc_id."""
+    common.ready(spark)
     return jaccard.keep_one(docs, 5, 80)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    common.ready(spark)
     return decontamination.decontaminate(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Choose 80 percent of the words to the target weights, no document twice."""
+    common.ready(spark)
     return mixing.mix(docs, percent=80, max_epochs=1).drop("_mix")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add each document's shard, 0 to 7, by rendezvous hashing of its doc_id."""
+    common.ready(spark)
     return sharding.assign(docs, [1.0] * sharding.SHARDS)
 
 
