@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from quarry.llm import common as C
 
-CACHE_PIECES = 280_000
+CACHE_PIECES = 600_000
 _TAIL = ".,!?;:#%$*&\"')"
 ROW_GROUP_BYTES, PAGE_BYTES = 24 << 20, 256 << 10
 
@@ -100,9 +100,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _batches_of_texts(column: pa.Array, chars: int = 1 << 20):
-    """Whole texts (null as empty), about a million bytes at a time, and the first one's row."""
-    texts = C.binary(column).cast(pa.large_string())
+def _batches_of_texts(column: pa.Array, chars: int = 2 << 20):
+    """Whole texts (null as empty), about two million bytes at a time, and the first one's row."""
+    texts = column.cast(pa.large_string()).fill_null("")
     at = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() if len(texts) else []
     start = 0
     while start < len(texts):
