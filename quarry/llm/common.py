@@ -76,6 +76,13 @@ def uri(path: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -419,6 +419,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
 
     tail = "kept_sha256 string" if digest else "spans array<struct<first:bigint,words:bigint>>, clean string"
     out = C.materialise(source.mapInArrow(work, f"row {row}, n_words long, n_removed long, {tail}"))
+    C.remove(docs.sparkSession, first, second)
     return out.select("row.*", *[c for c in out.columns if c != "row"])
 
 
