@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.functions import patterns as P, text as X
-from quarry.operators import audit, queues, registry, rules
+from quarry.operators import audit, pages, queues, registry, rules
 from quarry.plans import examples as E
 
 QUERIES: dict = {}
@@ -407,3 +407,54 @@ def next_lane(spark, sf_dir):
     return queues.next_lane(n, "n_nationkey", "done", 9, 25).select("n_nationkey", "n_name")
 
 
+@query("""WITH l AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS items, list(CASE WHEN l_quantity > 10 THEN l_suppkey END ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS results FROM lineitem GROUP BY 1),
+ r AS (SELECT *, unnest(range(len(items))) AS pos FROM l WHERE l_orderkey % 5 <> 0) SELECT l_orderkey, pos::INT AS pos, items[pos + 1] AS item, results[pos + 1] AS result FROM r""")
+def positional_zip(spark, sf_dir):
+    """Pages and results by position; every fifth page's results are one short and give nothing."""
+    li = table(spark, sf_dir, "lineitem")
+    ordered = lambda c, out: F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", c.alias("x")))), lambda s: s["x"]).alias(out)
+    left = li.groupBy("l_orderkey").agg(ordered(F.col("l_partkey"), "items"))
+    right = li.groupBy("l_orderkey").agg(ordered(F.when(F.col("l_quantity") > 10, F.col("l_suppkey")), "results"))
+    right = right.withColumn("results", F.when(F.col("l_orderkey") % 5 == 0, F.slice("results", 1, F.size("results") - 1)).otherwise(F.col("results")))
+    return pages.zip_pages(left, right, "l_orderkey", "items", "results")
+
+
+@query("SELECT c_custkey AS github_id, c_name AS name FROM customer WHERE c_custkey % 4 <> 0")
+def verified_lookup(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("github_id"), F.col("c_name").alias("name"))
+    found = c.select(F.upper("name").alias("name"), F.when(F.col("github_id") % 4 == 0, -1).otherwise(F.col("github_id")).alias("github_id"))
+    return pages.verified(c, found)
+
+
+@query("""WITH m AS (SELECT user_id + 1 AS github_id, 'q' || (event_id % 7) AS query_id FROM events), s AS (SELECT 'q' || i AS id, 'd' || (i % 3) AS d, 'm' || (i % 2) AS m FROM range(5) t(i))
+SELECT github_id, array_to_string(list_sort(list(DISTINCT query_id)), '|') AS query_ids, array_to_string(list_sort(list(DISTINCT d)), '|') AS domains, array_to_string(list_sort(list(DISTINCT m)), '|') AS methods FROM m JOIN s ON id = query_id GROUP BY 1""")
+def spec_label_join(spark, sf_dir):
+    m = table(spark, sf_dir, "events").select((F.col("user_id") + 1).alias("github_id"), F.concat(F.lit("q"), (F.col("event_id") % 7).cast("string")).alias("query_id"))
+    specs = spark.createDataFrame([(f"q{i}", [f"d{i % 3}"], [f"m{i % 2}"]) for i in range(5)], "id string, domains array<string>, methods array<string>")
+    return pages.spec_labels(m, specs).select("github_id", *[join(c).alias(c) for c in ("query_ids", "domains", "methods")])
+
+
+@query("SELECT n_nationkey AS id, n_name AS q, CASE WHEN n_nationkey % 3 = 0 OR n_nationkey % 4 = 0 THEN NULL ELSE n_regionkey END AS cursor FROM nation")
+def resumed_lanes(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("q"), F.col("n_regionkey").alias("cursor"))
+    saved = n.where("id % 4 <> 0").withColumn("q", F.when(F.col("id") % 3 == 0, F.lower("q")).otherwise(F.col("q")))
+    return pages.resume_lanes(n.drop("cursor"), saved)
+
+
+@query("""SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, b.o_orderstatus AS before, a.s AS after FROM (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 11 <> 0) b
+FULL JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 13 <> 0) a ON a.o_orderkey = b.o_orderkey WHERE b.o_orderstatus IS DISTINCT FROM a.s""")
+def coverage_diff(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("s"))
+    after = o.where("o_orderkey % 13 <> 0").withColumn("s", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("s")))
+    return pages.changed(o.where("o_orderkey % 11 <> 0"), after, "o_orderkey", "s")
+
+
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def unseen_keys(spark, sf_dir):
+    seen = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return pages.unseen(table(spark, sf_dir, "orders").select("o_custkey"), seen, "o_custkey")
+
+
+@query("SELECT count(*) AS n, min(doc_id) AS first FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents) WHERE k >= 37")
+def archive_offset(spark, sf_dir):
+    return pages.archive(spark, f"{sf_dir}/documents.parquet", 37).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))

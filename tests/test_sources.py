@@ -194,3 +194,25 @@ def test_seeded_sample(spark):
 
 def test_flagship(spark):
     assert catalog.QUERIES["current_registry"](spark, "/root/testdata/sf0.001").where(F.col("evidence_tier").isNull()).count() == 0
+
+
+def test_node_projection(spark):
+    from quarry.operators import pages
+
+    node = "struct<nameWithOwner:string,url:string,description:string,topics:array<string>,primaryLanguage:string,stargazerCount:int,isArchived:boolean,isFork:boolean>"
+    df = spark.createDataFrame([(1, ("o/r", "u", None, ["b", "a", "b"], None, 3, False, False)), (2, ("o/r", None, None, [], None, 3, False, False)), (3, None)], f"id long, node {node}")
+    strict, loose = pages.project_node(df).collect(), pages.project_node(df, strict=False).collect()
+    assert [r.id for r in strict] == [1] and strict[0].topics == ["a", "b"] and strict[0].stargazers_count == 3
+    assert len(loose) == 3 and registry.project_repository(pages.project_node(df).withColumns({"license": F.lit(None).cast("struct<spdx_id:string,key:string,name:string>"), "homepage": F.lit(" "), "forks_count": F.lit(None).cast("long"), **{c: F.lit(None).cast("string") for c in ("created_at", "pushed_at", "updated_at")}})).first().homepage is None
+
+
+def test_log_round_trip(spark, tmp_path):
+    from quarry.operators import pages
+
+    write(tmp_path / "a.jsonl", [row(2), row(1, description="é"), row(1)])
+    good, _ = jsonl.observations(spark, str(tmp_path / "a.jsonl"))
+    pages.write_log(good.coalesce(1), str(tmp_path / "out"))
+    assert jsonl.strict_violations(spark, str(tmp_path / "out/*.txt")).count() == 0 and jsonl.not_canonical(spark, str(tmp_path / "out/*.txt")).count() == 0
+    base = spark.createDataFrame([(1, "a", "old"), (2, "b", "old")], "github_id long, name string, description string")
+    new = spark.createDataFrame([(1, None, "new")], "github_id long, name string, description string")
+    assert {(r.name, r.description) for r in registry.overlay_enrichment(base, new).collect()} == {("a", "new"), ("b", "old")}
