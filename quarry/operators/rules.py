@@ -62,8 +62,13 @@ def _domains(corpus: Column) -> Column:
     return _tags(*[(X.has(corpus, "|".join(f"(?:{p})" for p in some)), label) for label, some in P.DOMAINS.items()])
 
 
+_ANY_TERM = "(?<![a-z0-9])(?:" + "|".join(t.replace(" ", r"\s+") for t in P.METHOD_TERMS) + ")"
+
+
 def _methods(corpus: Column) -> Column:
-    return _tags(*[(X.has(corpus, term_pattern(t)), _slug(t)) for t in P.METHOD_TERMS])
+    """One search tells whether any term is there; only then each is looked for."""
+    each = _tags(*[(X.has(corpus, term_pattern(t)), _slug(t)) for t in P.METHOD_TERMS])
+    return F.when(X.has(corpus, _ANY_TERM), each).otherwise(F.array().cast("array<string>"))
 
 
 def labels(df: DataFrame, spec_domains: str | None = None, spec_methods: str | None = None, matched: str | None = None) -> DataFrame:
