@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from quarry.llm import common as C
 
-TRAIN_PAGES, EPOCHS, SEED = 1500, 8, 11
-PATHS, WORDS, PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 2048, 1024, 16, 4, 8, 20
+TRAIN_PAGES, EPOCHS, SEED = 2500, 8, 11
+PATHS, WORDS, PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 2048, 4096, 16, 4, 8, 20
 
 _BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -114,6 +114,11 @@ _ROLES = {
     "form": (["form", "div"], ["form", "search", "newsletter", "subscribe", "login", "signup", "contact-form"]),
     "comments": (["div", "section", "ol"], ["comments", "comment-list", "discussion", "replies", "respond", "reader-comments", "feedback", "reviews", "thread"]),
 }
+#: Words that tell a role when they are there.
+_TOLD = {
+    "nav": "home about contact menu news", "header": "welcome home", "footer": "copyright rights reserved terms privacy", "side": "related popular trending tags share more", "ad": "sponsored advertisement buy offer sale",
+    "notice": "cookies cookie consent accept policy notice", "form": "subscribe newsletter email login search send", "comments": "comment comments reply said posted replies",
+}
 _MAIN = ["content", "main", "post", "article", "entry", "entry-content", "body", "story", "article-body", "post-content", "text", "page-content"]
 _PLAIN = ["wrap", "container", "row", "col", "inner", "page", "layout", "grid", "box", "x1", "section"]
 _SYLLABLES = "an ba che de el fi gra ho in ka lo mer no op que ri son tu ver wi zo é ü ción sch".split()
@@ -137,6 +142,8 @@ def invented_page(rng: random.Random) -> tuple[str, list[str]]:
 
     def keep(tag, low, high, extra=""):
         text = _say(rng, low, high)
+        if rng.random() < 0.2:  # an article may speak of cookies
+            text = " ".join([*rng.choices(" ".join(_TOLD.values()).split(), k=rng.randint(1, 3)), text] if rng.random() < 0.5 else [text, rng.choice(" ".join(_TOLD.values()).split())])
         main.append(" ".join(entities.unescape(text).split()))
         cut = text.find(" ")
         shown = text if cut < 0 or rng.random() < 0.6 else f"<b>{text[:cut]}</b>{text[cut:]}" if rng.random() < 0.5 else f'<a href="/q">{text[:cut]}</a>{text[cut:]}'
@@ -166,41 +173,56 @@ def invented_page(rng: random.Random) -> tuple[str, list[str]]:
             parts.append(noise("comments"))
         body = "".join(parts)
         kind = rng.random()
-        if kind < 0.55:
+        if kind < 0.5:
             return f"<article{attr(_MAIN)}>{body}</article>"
-        if kind < 0.75:
+        if kind < 0.68:
             return f"<main{attr(_MAIN)}>{body}</main>"
-        if kind < 0.97:
+        if kind < 0.9:
             return f'<div {rng.choice(["class", "id"])}="{rng.choice(_MAIN)}">{body}</div>'
-        return f"<div>{body}</div>"
+        return f"<div>{body}</div>" if kind < 0.93 else body
 
     def noise(role):
         tags, names = _ROLES[role]
         tag = rng.choice(tags)
         named = tag in ("nav", "header", "footer", "aside", "form")
         name = f' {rng.choice(["class", "class", "id"])}="{rng.choice(names)}"' if not named or rng.random() < 0.4 else ""
-        link = lambda low, high: f'<a href="/{rng.randint(1, 99)}">{_say(rng, low, high)}</a>'
+        told = _TOLD[role].split()
+
+        def say(low, high):
+            words = _say(rng, low, high).split(" ")
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                words.insert(rng.randint(0, len(words)), rng.choice(told))
+            return " ".join(words)
+
+        link = lambda low, high: f'<a href="/{rng.randint(1, 99)}">{say(low, high)}</a>'
         if role in ("nav", "side") and rng.random() < 0.8:
             items = "".join(f"<li>{link(1, 3 if role == 'nav' else 9)}</li>" for _ in range(rng.randint(2, 8)))
             inner = items if tag == "ul" else f"<ul>{items}</ul>" if rng.random() < 0.7 else "".join(link(1, 3) + " " for _ in range(4))
-            inner = (f"<h3>{_say(rng, 1, 4)}</h3>" if role == "side" else "") + inner
+            inner = (f"<h3>{say(1, 4)}</h3>" if role == "side" else "") + inner
         elif role == "form":
-            inner = f"<label>{_say(rng, 1, 4)}</label><input type=text><select><option>{_say(rng, 1, 2)}<option>{_say(rng, 1, 2)}</select><button>{_say(rng, 1, 3)}</button>" + (f"<p>{_say(rng, 3, 14)}</p>" if rng.random() < 0.5 else "")
+            inner = f"<label>{say(1, 4)}</label><input type=text><select><option>{say(1, 2)}<option>{say(1, 2)}</select><button>{say(1, 3)}</button>" + (f"<p>{say(3, 14)}</p>" if rng.random() < 0.5 else "")
         elif role == "comments":
             item, kind = rng.choice(["div", "li", "article"]), rng.choice(["comment", "reply", "comment-body", "review"])
-            inner = f"<h3>{_say(rng, 1, 4)}</h3>" + "".join(f'<{item} class="{kind}"><p>{_say(rng, 3, 40)}</p></{item}>' for _ in range(rng.randint(1, 5)))
+            inner = f"<h3>{say(1, 4)}</h3>" + "".join(f'<{item} class="{kind}"><p>{say(3, 40)}</p></{item}>' for _ in range(rng.randint(1, 5)))
         elif role == "footer":
-            inner = f"&copy; {_say(rng, 1, 4)} &middot; {_say(rng, 1, 12)}" if rng.random() < 0.6 else f"<p>{_say(rng, 2, 20)}</p>" + link(1, 3)
+            inner = f"&copy; {say(1, 4)} &middot; {say(1, 12)}" if rng.random() < 0.6 else f"<p>{say(2, 20)}</p>" + link(1, 3)
         elif role == "header":
-            inner = f"<h1>{_say(rng, 1, 4)}</h1>" * (rng.random() < 0.3) + f"<p>{_say(rng, 1, 8)}</p>" * (rng.random() < 0.5) + link(1, 3)
+            inner = f"<h1>{say(1, 4)}</h1>" * (rng.random() < 0.3) + f"<p>{say(1, 8)}</p>" * (rng.random() < 0.5) + link(1, 3)
         else:
-            inner = f"<p>{_say(rng, 2, 25)}</p>" * rng.randint(1, 2) if rng.random() < 0.5 else _say(rng, 2, 25)
+            inner = f"<p>{say(2, 25)}</p>" * rng.randint(1, 2) if rng.random() < 0.5 else say(2, 25)
         return f"<{tag}{name}>{inner}</{tag}>"
 
     before = [noise(r) for r in ("nav", "header", "ad", "notice", "form", "side") if rng.random() < 0.5]
     after = [noise(r) for r in ("side", "ad", "comments", "form", "footer", "notice") if rng.random() < 0.5]
     rng.shuffle(before)
-    body = "<!-- x -->".join([*before, article(), *after])
+    if rng.random() < 0.08:
+        before, after = [], []
+    middle = article()
+    if rng.random() < 0.06:  # columns of a table
+        role = rng.choice(["nav", "side", "ad"])
+        beside = f'<td class="{rng.choice(_ROLES[role][1])}">{noise(role)}</td>' if rng.random() < 0.5 else f'<td class="{rng.choice(_ROLES[role][1])}"><a href="/1">{_say(rng, 1, 4)}</a><br><a href="/2">{_say(rng, 1, 4)}</a></td>'
+        middle = f'<table><tr>{beside}<td class="{rng.choice(_MAIN)}">{middle}</td></tr></table>'
+    body = "<!-- x -->".join([*before, middle, *after])
     for _ in range(rng.choice([0, 0, 1, 2])):
         body = f"<div{attr(_PLAIN)}>{body}</div>"
     return f"<!DOCTYPE html><html><head><title>{_say(rng, 2, 6)}</title><script>var a='</p>';</script></head><body>{body}</body></html>", main
@@ -232,6 +254,16 @@ def describe(pages: list[list[tuple]]) -> list[tuple]:
     return out
 
 
+def _slots_of(words: str) -> np.ndarray:
+    return np.concatenate([c.hashes() % C.U64(WORDS) for c in C.chunks(pa.array([words]))]).astype(np.int64)
+
+
+def renamed(page: tuple, r: np.random.Generator) -> tuple:
+    """The page with other invented words in place of its own; words that tell a role stay."""
+    slots, words, n, counts = page
+    return slots, np.where(np.isin(words, _slots_of(" ".join(_TOLD.values()))), words, r.integers(0, WORDS, len(words))), n, counts
+
+
 def wordless(page: tuple) -> tuple:
     slots, words, n, counts = page
     return slots, words[:0], np.zeros_like(n), counts
@@ -332,16 +364,17 @@ class Labeller:
 
     def train(self, pages: list[tuple], labels: list[np.ndarray], epochs: int, seed: int = SEED, rate: float = 0.01) -> None:
         r = np.random.default_rng(seed)
-        m, v, step = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0
+        m, v, step, steps = {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0, epochs * -(-len(pages) // 24)
         for _ in range(epochs):
             order = np.argsort([len(y) + r.random() * 9 for y in labels])  # pages of like length together
             for i in r.permutation(range(0, len(order), 24)):
                 some = order[i : i + 24]
                 step += 1
-                seen = [pages[j] if r.random() < 0.5 else wordless(pages[j]) for j in some]  # words alone decide nothing
+                self.p["word"] *= np.float32(0.98)  # words are weak evidence
+                seen = [renamed(pages[j], r) if r.random() < 0.4 else wordless(pages[j]) for j in some]  # invented words decide nothing
                 for k, g in self.gradients(seen, [labels[j] for j in some]).items():
                     m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
-                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                    self.p[k] = (self.p[k] - rate * (1 - 0.95 * step / steps) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
 
 
 def labelled(rng: random.Random) -> tuple[list[tuple], np.ndarray]:
