@@ -7,6 +7,7 @@ of about two megabytes (a longer document is a chunk of its own, so no text is e
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -153,6 +154,19 @@ def binary(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
 
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:
+    _libc = None
+
+
+def trim() -> None:
+    """Give freed memory back, so that a worker does not hold a large batch's pages while it waits."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None and hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """The whole texts of a column (null as empty), a few megabytes at a time, with their words' bounds."""
     column = binary(column)
@@ -171,6 +185,7 @@ def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> I
             data = _LOWER[data]
         yield scan(data, offsets, i, j)
         i = j
+    trim()
 
 
 def scan(data: np.ndarray, at: np.ndarray, first: int, last: int) -> Chunk:

@@ -286,7 +286,7 @@ def repeated_spans(texts: DataFrame):
         pid, rows, size = _task(), 0, 0
         for b in batches:
             rows += len(b)
-            for c in C.chunks(b.column(0), limit=4 * C.CHUNK_BYTES):
+            for c in C.chunks(b.column(0), limit=2 * C.CHUNK_BYTES):
                 size += len(c.data)
                 _, g, start, stop = _runs(c)
                 e = _distinct(g, 1 + _inner_repeats(c, start, stop))
@@ -307,7 +307,7 @@ def repeated_spans(texts: DataFrame):
         keys, rows, size = _keys(known.get("key", [])), 0, 0
         for b in batches:
             rows += len(b)
-            for c in C.chunks(b.column(0), limit=4 * C.CHUNK_BYTES):
+            for c in C.chunks(b.column(0), limit=2 * C.CHUNK_BYTES):
                 size += len(c.data)
                 h, g, start, stop = _runs(c)
                 at = _find(keys, g)
@@ -390,7 +390,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
         rows = size = 0
         for b in batches:
             rows += len(b)
-            for c in C.chunks(b.column(0), limit=4 * C.CHUNK_BYTES):
+            for c in C.chunks(b.column(0), limit=2 * C.CHUNK_BYTES):
                 size += len(c.data)
                 hit = flagged_windows(c, keys, verdicts, windows)
                 cover = np.zeros(len(c.starts) + WINDOW + 1, np.int32)
