@@ -94,6 +94,27 @@ def test_decontamination_matches_brute_force(spark):
     assert kept.columns == df.columns and kept.count() == sum((d, t) not in {(d, t) for d, t in docs if any(x == d and slow_leaks([(d, t)], bench) for x, _ in want)} for d, t in docs)
 
 
+def test_windows_between_alignments_are_found(spark):
+    """Insertions of several words, edits at the edges, and swapped halves: the best window is often one that no shared shingle aligns."""
+    rng = random.Random(6)
+    bench = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in (59, 60, 61, 80, 100)]
+    docs = []
+    for n, text in bench:
+        for ends, inserted in ((1, 2), (2, 5), (0, 3), (2, 0), (3, 3)):
+            p = text.split()
+            p[:ends] = [f"new{j}" for j in range(ends)]
+            p[n - ends :] = [f"old{j}" for j in range(ends)]
+            p[n // 2 : n // 2] = [f"mid{j}" for j in range(inserted)]
+            docs.append((len(docs), " ".join([*rng.choices("abcdefgh", k=rng.randint(0, 90)), *p, *rng.choices("abcdefgh", k=rng.randint(0, 90))])))
+        p = text.split()
+        docs.append((len(docs), " ".join(["x", *p[n // 2 :], *p[: n // 2], "y"])))
+        docs.append((len(docs), " ".join(p[1 : n - 2])))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = slow_leaks(docs, bench)
+    assert {k: s for k, (s, _) in got.items()} == pytest.approx(want)
+    assert len(want) > 20
+
+
 def test_decontamination_empty(spark):
     docs, bench = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontamination.leaks(docs, bench).count() == 0
