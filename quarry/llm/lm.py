@@ -1,14 +1,18 @@
 """LM scoring by masked pseudo-likelihood: each word is predicted from the words on both sides of it.
 
-The network reads WINDOW words to the left and as many to the right (embeddings, one tanh layer) and gives the
-probabilities of CLASSES word classes; a word's probability is that of its class times its share of the class in
-the corpus. A document's score is the sum of its words' conditional log-probabilities.
+The network reads WINDOW words to the left and as many to the right (embeddings, one tanh layer) and predicts words
+in two levels, each a softmax over what the hidden layer says: one of CLASSES classes, then an entry of the class,
+whose bias starts at the log of its share. A document's score is the sum of its words' conditional log-probabilities.
 
 Vocabulary, shares and classes come from counts of all words of all documents. The VOCABULARY most frequent words
-are themselves, the others share BUCKETS hashed entries, so the model has a fixed size (about 300 kB, broadcast).
+are entries themselves, the others share BUCKETS hashed entries, so the model has a fixed size (about 1 MB,
+broadcast); a word of a hashed entry has the entry's probability times its own share of the entry's count, which a
+join on the counts brings. So the probabilities of all words of the corpus add up to one in every context.
+
 Training goes over all documents in ROUNDS rounds: each task starts from the round's parameters and takes every
-STRIDE-th word of each of its documents (another remainder each round) as a target; the tasks' parameters are averaged,
-weighted by targets, a few at a time. What is counted and averaged grows with the corpus.
+STRIDE-th word of each of its documents (another remainder each round); the
+tasks' parameters are averaged, weighted by targets, a few at a time. Entries in classes are learned in larger
+batches, on the hidden layer as it is. What is counted and averaged grows with the corpus.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ from quarry.llm import common as C
 VOCABULARY, BUCKETS, CLASSES = 4096, 1024, 64
 WINDOW, DIM, HIDDEN = 2, 12, 32
 ROUNDS, STRIDE, BATCH, RATE, SEED = 2, 8, 512, 0.05, 5
+#: Targets a step of the entries in classes.
+ENTRY_BATCH = 16 * BATCH
 PAD = VOCABULARY + BUCKETS
 HELD_WORDS, TOGETHER = 1 << 20, 64
-SHAPES = {"e": (PAD + 1, DIM), "w1": (2 * WINDOW * DIM, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, CLASSES), "b2": (CLASSES,)}
+SHAPES = {"e": (PAD + 1, DIM), "w1": (2 * WINDOW * DIM, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, CLASSES), "b2": (CLASSES,), "u": (PAD, HIDDEN), "c": (PAD,)}
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -72,6 +78,21 @@ class Vocabulary:
         self.klass = np.zeros(PAD, np.int64)
         self.klass[by] = np.minimum((middle * CLASSES).astype(np.int64), CLASSES - 1)
         self.share = np.log(n / np.bincount(self.klass, n, CLASSES)[self.klass])
+        self.mass = buckets
+        # the entries of each class, and each entry's place among them
+        self.members = np.argsort(self.klass, kind="stable")
+        self.bounds = np.searchsorted(self.klass[self.members], np.arange(CLASSES + 1))
+        self.place = np.empty(PAD, np.int64)
+        self.place[self.members] = np.arange(PAD) - self.bounds[self.klass[self.members]]
+
+    def by_class(self, ids: np.ndarray):
+        """(rows of ids, the class's entries, the rows' places among them) of each class of several entries that ids have."""
+        klass = self.klass[ids]
+        order = np.argsort(klass, kind="stable")
+        at = np.searchsorted(klass[order], np.arange(CLASSES + 1))
+        for k in np.flatnonzero((np.diff(at) > 0) & (np.diff(self.bounds) > 1)):
+            rows = order[at[k] : at[k + 1]]
+            yield rows, self.members[self.bounds[k] : self.bounds[k + 1]], self.place[ids[rows]]
 
     def entries(self, h: np.ndarray) -> np.ndarray:
         out = VOCABULARY + (h % C.U64(BUCKETS)).astype(np.int64)
@@ -81,8 +102,8 @@ class Vocabulary:
         return out
 
 
-def learn_vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    counts = C.materialise(word_counts(docs, text))
+def learn_vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
+    counts = counts or C.materialise(word_counts(docs, text))
     top = [(r.word, r.n) for r in counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()]
     buckets = np.zeros(BUCKETS)
     # an unsigned hash modulo a power of two is its low bits
@@ -105,19 +126,29 @@ def contexts(ids: np.ndarray, word_at: np.ndarray) -> np.ndarray:
 class Network:
     def __init__(self, params: dict[str, np.ndarray] | None = None):
         r = np.random.default_rng(SEED)
-        self.p = params or {k: (r.standard_normal(s) / np.sqrt(s[0] if k != "e" else DIM) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in SHAPES.items()}
+        self.p = params or {k: (r.standard_normal(s) / np.sqrt(s[0] if k != "e" else DIM) if len(s) > 1 and k != "u" else np.zeros(s)).astype(np.float32) for k, s in SHAPES.items()}
 
     def hidden(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = self.p["e"][ctx].reshape(len(ctx), -1)
         return x, np.tanh(x @ self.p["w1"] + self.p["b1"])
 
-    def log_classes(self, ctx: np.ndarray, klass: np.ndarray) -> np.ndarray:
+    def log_classes(self, ctx: np.ndarray, klass: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
         """The log-probability of each row's class."""
-        z = self.hidden(ctx)[1] @ self.p["w2"] + self.p["b2"]
+        z = (self.hidden(ctx)[1] if h is None else h) @ self.p["w2"] + self.p["b2"]
         z -= z.max(1, keepdims=True)
         return z[np.arange(len(z)), klass] - np.log(np.exp(z).sum(1))
 
-    def gradients(self, ctx: np.ndarray, klass: np.ndarray) -> dict[str, np.ndarray]:
+    def log_entries(self, h: np.ndarray, ids: np.ndarray, v: Vocabulary) -> np.ndarray:
+        """The log-probability of each row's entry in its class, for hidden states h."""
+        out = np.zeros(len(ids))
+        for rows, some, at in v.by_class(ids):
+            z = h[rows] @ self.p["u"][some].T + (self.p["c"][some] + v.share[some]).astype(np.float32)
+            z -= z.max(1, keepdims=True)
+            out[rows] = z[np.arange(len(z)), at] - np.log(np.exp(z).sum(1))
+        return out
+
+    def _gradients(self, ctx: np.ndarray, klass: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """The gradients but for the embeddings, the entries that ctx has, and their embeddings' gradients."""
         x, h = self.hidden(ctx)
         z = h @ self.p["w2"] + self.p["b2"]
         z = np.exp(z - z.max(1, keepdims=True))
@@ -125,14 +156,43 @@ class Network:
         z[np.arange(len(z)), klass] -= 1
         z /= len(z)
         dh = (z @ self.p["w2"].T) * (1 - h * h)
-        de = np.zeros_like(self.p["e"])
-        np.add.at(de, ctx.ravel(), (dh @ self.p["w1"].T).reshape(-1, DIM))
-        return {"e": de, "w1": x.T @ dh, "b1": dh.sum(0), "w2": h.T @ z, "b2": z.sum(0)}
+        flat = ctx.ravel()
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        de = np.add.reduceat((dh @ self.p["w1"].T).reshape(-1, DIM)[order], first)
+        return {"w1": x.T @ dh, "b1": dh.sum(0), "w2": h.T @ z, "b2": z.sum(0)}, flat[order[first]], de
+
+    def gradients(self, ctx: np.ndarray, klass: np.ndarray) -> dict[str, np.ndarray]:
+        g, rows, de = self._gradients(ctx, klass)
+        g["e"] = np.zeros_like(self.p["e"])
+        g["e"][rows] = de
+        return g
+
+    def entry_gradients(self, h: np.ndarray, ids: np.ndarray, v: Vocabulary):
+        """(entries, gradient of u, gradient of c) of each class, for the mean over ids."""
+        for rows, some, at in v.by_class(ids):
+            z = h[rows] @ self.p["u"][some].T + (self.p["c"][some] + v.share[some]).astype(np.float32)
+            z = np.exp(z - z.max(1, keepdims=True))
+            z /= z.sum(1, keepdims=True)
+            z[np.arange(len(z)), at] -= 1
+            z /= len(ids)
+            yield some, z.T @ h[rows], z.sum(0)
+
+    def _move(self, k: str, at, g: np.ndarray, seen: dict[str, np.ndarray]) -> None:
+        total = seen[k][at] + g * g
+        seen[k][at] = total
+        self.p[k][at] -= np.float32(RATE) * g / (np.sqrt(total) + np.float32(1e-6))
 
     def step(self, ctx: np.ndarray, klass: np.ndarray, seen: dict[str, np.ndarray]) -> None:
-        for k, g in self.gradients(ctx, klass).items():
-            seen[k] += g * g
-            self.p[k] -= np.float32(RATE) * g / (np.sqrt(seen[k]) + np.float32(1e-6))
+        g, rows, de = self._gradients(ctx, klass)
+        self._move("e", rows, de, seen)  # the others' gradients are zero and would move nothing
+        for k, x in g.items():
+            self._move(k, ..., x, seen)
+
+    def step_entries(self, ctx: np.ndarray, ids: np.ndarray, v: Vocabulary, seen: dict[str, np.ndarray]) -> None:
+        for some, du, dc in self.entry_gradients(self.hidden(ctx)[1], ids, v):
+            self._move("u", some, du, seen)
+            self._move("c", some, dc, seen)
 
     def pack(self) -> bytes:
         return np.concatenate([self.p[k].ravel() for k in SHAPES]).astype("<f4").tobytes()
@@ -149,24 +209,28 @@ def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "
 
     def fit(batches):
         net, v = Network({k: x.copy() for k, x in first.value.items()}), words.value
-        seen = {k: np.full(s, 0.1, np.float32) for k, s in SHAPES.items()}
+        seen = {k: np.full(s, 1e-4 if k in "uc" else 0.1, np.float32) for k, s in SHAPES.items()}
         targets, held = 0, []
 
         def drain(every: bool):
             nonlocal held, targets
-            ctx, klass = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-            stop = len(ctx) if every else len(ctx) - len(ctx) % BATCH
-            for i in range(0, stop, BATCH):
-                net.step(ctx[i : min(i + BATCH, stop)], klass[i : min(i + BATCH, stop)], seen)
+            ctx, ids = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+            stop = len(ctx) if every else len(ctx) - len(ctx) % ENTRY_BATCH
+            klass = v.klass[ids]
+            for i in range(0, stop, ENTRY_BATCH):
+                end = min(i + ENTRY_BATCH, stop)
+                for j in range(i, end, BATCH):
+                    net.step(ctx[j : min(j + BATCH, end)], klass[j : min(j + BATCH, end)], seen)
+                net.step_entries(ctx[i:end], ids[i:end], v, seen)
             targets += stop
-            held = [(ctx[stop:], klass[stop:])]
+            held = [(ctx[stop:], ids[stop:])]
 
         for b in batches:
             for c in C.chunks(b.column(0)):
                 ids = v.entries(c.hashes())
                 within = np.arange(len(ids)) - np.repeat(c.word_at[:-1], c.n_words)
                 pick = np.flatnonzero(within % STRIDE == turn % STRIDE)
-                held.append((contexts(ids, c.word_at)[pick], v.klass[ids[pick]]))
+                held.append((contexts(ids, c.word_at)[pick], ids[pick]))
                 drain(False)
         if held:
             drain(True)
@@ -197,20 +261,54 @@ def _task() -> int:
 
 
 def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 16_384) -> tuple[np.ndarray, np.ndarray]:
-    """(words, summed log-probability) of each text."""
+    """(words, summed log-probability of their entries) of each text."""
     counts, sums = [], []
     for c in C.chunks(texts):
         ids = v.entries(c.hashes())
-        ctx, klass = contexts(ids, c.word_at), v.klass[ids]
-        logs = [net.log_classes(ctx[i : i + batch], klass[i : i + batch]) for i in range(0, len(ids), batch)]
-        total = np.concatenate(([0.0], np.cumsum(np.concatenate(logs).astype(float) + v.share[ids]))) if logs else np.zeros(1)
+        ctx, logs = contexts(ids, c.word_at), []
+        for i in range(0, len(ids), batch):
+            near, own = ctx[i : i + batch], ids[i : i + batch]
+            h = net.hidden(near)[1]
+            logs.append(net.log_classes(near, v.klass[own], h) + net.log_entries(h, own, v))
+        total = np.concatenate(([0.0], np.cumsum(np.concatenate(logs).astype(float)))) if logs else np.zeros(1)
         counts.append(c.n_words)
         sums.append(total[c.word_at[1:]] - total[c.word_at[:-1]])
     return (np.concatenate(counts), np.concatenate(sums)) if counts else (np.zeros(0, np.int64), np.zeros(0))
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[Vocabulary, Network]:
-    v, net = learn_vocabulary(docs, text), Network()
+def rare_shares(texts: DataFrame, v: Vocabulary, counts: DataFrame) -> DataFrame:
+    """(_k, rare): for each text with words of hashed entries, the sum of the logs of their shares of their entries' counts.
+
+    texts has k, a hash of the text, and text. A word that counts does not have is taken as seen once.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(v)
+
+    def rare(batches):
+        for b in batches:
+            for c in C.chunks(b.column(1)):
+                h = c.hashes()
+                pick = np.flatnonzero(shared.value.entries(h) >= VOCABULARY)
+                k = b.column(0).to_numpy()[c.first : c.last][c.doc_of_word()[pick]]
+                order = np.lexsort((h[pick], k))
+                k, h = k[order], h[pick][order]
+                at = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), (k[1:] != k[:-1]) | (h[1:] != h[:-1]))))
+                # equal texts of a chunk have more of a word: their number divides out
+                yield pa.RecordBatch.from_arrays([pa.array(k[at]), pa.array(h[at].view(np.int64)), pa.array(_times(k, b.column(0).to_numpy()[c.first : c.last], at))], ["k", "word", "times"])
+
+    each = texts.mapInArrow(rare, "k long, word long, times long").groupBy("k", "word").agg(F.max("times").alias("times"))
+    mass = F.array(*[F.lit(float(m)) for m in v.mass])
+    own = F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)) / F.greatest(F.get(mass, F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(1.0))
+    return each.join(counts, "word", "left").groupBy(F.col("k").alias("_k")).agg(F.sum(F.col("times") * F.log(own)).alias("rare"))
+
+
+def _times(k: np.ndarray, texts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How often each group of k, which begin at at, has its word in one of the equal texts."""
+    u, copies = np.unique(texts, return_counts=True)
+    return np.diff(at, append=len(k)) // copies[np.searchsorted(u, k[at])] if len(at) else np.zeros(0, np.int64)
+
+
+def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
+    v, net = learn_vocabulary(docs, text, counts), Network()
     words = docs.sparkSession.sparkContext.broadcast(v)
     for turn in range(ROUNDS):
         net = train_round(docs, words, net, turn * (STRIDE // ROUNDS), text)
@@ -221,20 +319,25 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", model: tuple
     """(doc_id, n_words, pseudo_log_likelihood, per_word) for each row of docs; per_word is null without words.
 
     Null and empty texts have no words and a score of 0; repeated rows are scored alike; an empty table is
-    scored by the untrained network, that is not at all.
+    scored by the untrained network, that is not at all. With a model given, rare words' shares are those in docs.
     """
-    v, net = model or train(docs, text)
+    counts = C.materialise(word_counts(docs, text))
+    v, net = model or train(docs, text, counts)
     shared = docs.sparkSession.sparkContext.broadcast((v, net.p))
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k"), F.col(text).alias("text"))
 
     def work(batches):
         v, p = shared.value
         for b in batches:
-            n, s = score_texts(b.column(1), v, Network(p))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(s), pa.array(s / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_words", "pseudo_log_likelihood", "per_word"])
+            n, s = score_texts(b.column(2), v, Network(p))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(s)], ["doc_id", "k", "n_words", "s"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, n_words long, pseudo_log_likelihood double, per_word double")
+    scored = rows.mapInArrow(work, f"doc_id {kind}, k long, n_words long, s double")
+    rare = rare_shares(rows.select("k", "text"), v, counts)
+    total = (F.col("s") + F.coalesce("rare", F.lit(0.0))).alias("pseudo_log_likelihood")
+    out = scored.join(rare, F.col("k") == F.col("_k"), "left").select("doc_id", "n_words", total)
+    return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("pseudo_log_likelihood") / F.col("n_words")))
 
 
 def op2_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -76,3 +76,41 @@ def test_score_edges(spark):
     got = {(r.doc_id, r.n_words): r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string, n_words long")).collect()}
     assert got[1, 0].per_word is None and got[1, 3].per_word == got[None, 3].per_word
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_probabilities_of_all_words_add_up_to_one(spark):
+    """Rare words have their own share of a hashed entry: over all words of the corpus, one-word texts have a total of one."""
+    n = lm.VOCABULARY + 3000
+    docs = spark.range(4 * n).selectExpr("id doc_id", f"concat('w', id % {n}) text").where(f"doc_id < {n} or doc_id % {n} < {n - 1500}")
+    got = {}
+    for r in docs.transform(lm.score).join(docs, "doc_id").collect():
+        got.setdefault(r.text, set()).add(round(r.pseudo_log_likelihood, 6))
+    assert len(got) == n and all(len(x) == 1 for x in got.values())
+    assert abs(sum(math.exp(min(x)) for x in got.values()) - 1) < 1e-3
+
+
+def test_entries_of_a_class_depend_on_the_context():
+    r = np.random.default_rng(3)
+    v, net = lm.Vocabulary([(i, 10) for i in range(640)], np.zeros(lm.BUCKETS)), lm.Network()
+    k = v.klass[0]
+    some = np.flatnonzero(v.klass == k)[:2]
+    ids = some[r.integers(0, 2, 400)]
+    ctx = r.integers(0, 600, (400, 2 * lm.WINDOW))
+    ctx[:, 1] = 600 + np.searchsorted(some, ids)  # the word on the left tells which
+    h = net.hidden(ctx)[1]
+    before = net.log_entries(h, ids, v)
+    assert np.allclose(before, v.share[ids], atol=1e-5)
+    [(at, du, dc)] = net.entry_gradients(h, ids, v)
+    net.p = {k: x.astype(float) for k, x in net.p.items()}
+    for name, g, place in (("u", du[1, 3], (at[1], 3)), ("c", dc[0], (at[0],))):
+        net.p[name][place] += 1e-2
+        up = -net.log_entries(h, ids, v).mean()
+        net.p[name][place] -= 2e-2
+        down = -net.log_entries(h, ids, v).mean()
+        net.p[name][place] += 1e-2
+        assert abs((up - down) / 2e-2 - g) < 1e-4
+    seen = {k: np.full(s, 1e-4) for k, s in lm.SHAPES.items()}
+    for _ in range(200):
+        net.step_entries(ctx, ids, v, seen)
+    swapped = np.where(ids == some[0], some[1], some[0])
+    assert (net.log_entries(h, ids, v) - net.log_entries(h, swapped, v)).mean() > 0.5
