@@ -10,7 +10,7 @@ broadcast); a word of a hashed entry has the entry's probability times its own s
 join on the counts brings. So the probabilities of all words of the corpus add up to one in every context.
 
 Training goes over all documents in ROUNDS rounds: each task starts from the round's parameters and takes every
-STRIDE-th word of each of its documents (another remainder each round); the
+STRIDE-th word of each of its documents (another remainder each round, so that every word is a target once); the
 tasks' parameters are averaged, weighted by targets, a few at a time. Entries in classes are learned in larger
 batches, on the hidden layer as it is. What is counted and averaged grows with the corpus.
 """
@@ -25,7 +25,7 @@ from quarry.llm import common as C
 
 VOCABULARY, BUCKETS, CLASSES = 4096, 1024, 64
 WINDOW, DIM, HIDDEN = 2, 12, 32
-ROUNDS, STRIDE, BATCH, RATE, SEED = 2, 8, 512, 0.05, 5
+ROUNDS, STRIDE, BATCH, RATE, SEED = 2, 2, 512, 0.05, 5
 #: Targets a step of the entries in classes.
 ENTRY_BATCH = 16 * BATCH
 PAD = VOCABULARY + BUCKETS

@@ -114,3 +114,14 @@ def test_entries_of_a_class_depend_on_the_context():
         net.step_entries(ctx, ids, v, seen)
     swapped = np.where(ids == some[0], some[1], some[0])
     assert (net.log_entries(h, ids, v) - net.log_entries(h, swapped, v)).mean() > 0.5
+
+
+def test_every_word_is_a_target(spark):
+    """The second word of texts of two words is learned too."""
+    docs = spark.range(200_000).selectExpr("concat('k', id % 4, ' v', id % 4) text").repartition(2)
+    v, net = lm.train(docs)
+    entry = lambda w: int(v.entries(next(C.chunks(pa.array([w]))).hashes())[0])
+    for i in range(4):
+        ctx = np.array([[lm.PAD, entry(f"k{i}"), lm.PAD, lm.PAD]])
+        own, other = (net.log_classes(ctx, v.klass[[entry(f"v{j}")]])[0] for j in (i, (i + 1) % 4))
+        assert own > other + 1
