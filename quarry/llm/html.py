@@ -32,7 +32,8 @@ _VOID = {"hr", "br", "input", "img", "meta", "link", "wbr", "area", "base", "col
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ENDS_P = _BLOCK - {"button", "label", "option", "input", "select", "textarea", "video", "audio", "iframe"}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|svg|title|iframe|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|title|iframe)(?![^\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?![^\s/>])(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</svg\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
@@ -55,7 +56,8 @@ def blocks(page: str) -> list[tuple[str, frozenset, float]]:
     """(text, slots of the path's names, share of its characters in links) of each block that has text.
 
     Character references are decoded, white space is one space. Whatever the markup, nothing is lost but tags,
-    comments, and the contents of script, style, title and the like. Tags that are not closed end with their parent.
+    comments, and the contents of script, style, title, svg and the like (a self-closed svg has none; formulas of math
+    elements are text). Tags that are not closed end with their parent.
     """
     out, stack, run, in_link, depth_a = [], [("", ())], [], 0, 0
 

@@ -16,6 +16,15 @@ def test_blocks():
     assert html.blocks('<a href="x>y">all link</a>')[0][2] == 1.0
 
 
+def test_self_closed_elements_lose_nothing():
+    texts = lambda page: [b[0] for b in html.blocks(page)]
+    assert texts('<p>one</p><svg class="i"/><p>two</p><svg><path/></svg><p>three') == ["one", "two", "three"]
+    assert texts("<svg /><p>four</p>") == ["four"] and texts('<svg a="/>" b=x/y><text>no</text><g/></svg><p>five') == ["five"]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold<math/>.</p><p>six") == ["let x=2 hold.", "six"]
+    assert texts('<svg-icon name="x"></svg-icon><p>seven</p><title-bar>eight</title-bar>') == ["seven", "eight"]
+    assert texts("<script src=a/>no</script><p>nine<style/>no</style>") == ["nine"]
+
+
 def test_gradients():
     rng = random.Random(4)
     some = [html.labelled(rng) for _ in range(3)]
