@@ -63,3 +63,8 @@ def test_extract(spark):
     assert [r.text for r in got if r.page_id == 1] == [want, want]
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == 5
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_marks_are_counted_over_the_whole_block():
+    [(_, _, _, counts)] = html.describe([[("word " * 500 + "a. " * 10, frozenset({1}), 0.0)]])
+    assert counts[0, 6] == np.float32(0.5)
