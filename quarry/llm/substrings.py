@@ -8,7 +8,8 @@ A word is removed if it lies in a window of WINDOW words whose sequence also sta
 2. A second scan cuts the windows of the repeated minimizers into contexts (a run of windows and the words they
    span) and routes the distinct ones to reference shards by minimizer. Each shard builds a suffix automaton of its contexts,
    with the number of places of every substring, and streams the contexts through it: where the longest suffix
-   that occurs twice has WINDOW words or more, the window that ends there is repeated. The automata are
+   that occurs twice has WINDOW words or more, the window that ends there is repeated. A minimizer whose contexts
+   are all the same words needs no automaton: they are repeated if there are two. The automata are
    not broadcast to all documents, because their size grows with the corpus; contexts come to their shard instead.
 3. A third scan looks its contexts' verdicts up, joins the windows to maximal spans and removes them.
 
