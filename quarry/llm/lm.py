@@ -292,19 +292,15 @@ def rare_shares(texts: DataFrame, v: Vocabulary, counts: DataFrame) -> DataFrame
                 order = np.lexsort((h[pick], k))
                 k, h = k[order], h[pick][order]
                 at = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), (k[1:] != k[:-1]) | (h[1:] != h[:-1]))))
-                # equal texts of a chunk have more of a word: their number divides out
-                yield pa.RecordBatch.from_arrays([pa.array(k[at]), pa.array(h[at].view(np.int64)), pa.array(_times(k, b.column(0).to_numpy()[c.first : c.last], at))], ["k", "word", "times"])
+                yield pa.RecordBatch.from_arrays([pa.array(k[at]), pa.array(h[at].view(np.int64)), pa.array(np.diff(at, append=len(k)))], ["k", "word", "times"])
 
-    each = texts.mapInArrow(rare, "k long, word long, times long").groupBy("k", "word").agg(F.max("times").alias("times"))
+    each = texts.mapInArrow(rare, "k long, word long, times long")
     mass = F.array(*[F.lit(float(m)) for m in v.mass])
     own = F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)) / F.greatest(F.get(mass, F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(1.0))
-    return each.join(counts, "word", "left").groupBy(F.col("k").alias("_k")).agg(F.sum(F.col("times") * F.log(own)).alias("rare"))
-
-
-def _times(k: np.ndarray, texts: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """How often each group of k, which begin at at, has its word in one of the equal texts."""
-    u, copies = np.unique(texts, return_counts=True)
-    return np.diff(at, append=len(k)) // copies[np.searchsorted(u, k[at])] if len(at) else np.zeros(0, np.int64)
+    logs = each.join(counts, "word", "left").select("k", (F.col("times") * F.log(own)).alias("s"), F.lit(0).alias("one"))
+    # equal texts come as often as they are there: their number divides out
+    every = logs.union(texts.select("k", F.lit(0.0), F.lit(1)))
+    return every.groupBy(F.col("k").alias("_k")).agg((F.sum("s") / F.sum("one")).alias("rare"))
 
 
 def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
