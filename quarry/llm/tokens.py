@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import repeat
+from operator import methodcaller
 
 import numpy as np
 import pyarrow as pa
@@ -17,31 +19,47 @@ from quarry.llm import common as C
 
 CACHE_PIECES = 600_000
 _TAIL = ".,!?;:#%$*&\"')"
+_STEM = methodcaller("rstrip", _TAIL)
 ROW_GROUP_BYTES, PAGE_BYTES = 24 << 20, 256 << 10
 
 
+def _gather(flat: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs flat[at[p] : at[p + 1]] of all places p, one after the other, and their sizes."""
+    size = at[place + 1] - at[place]
+    ends = np.cumsum(size)
+    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at[place] - (ends - size), size)], size
+
+
 class Encoder:
-    """Whole texts to ids with the tokenizers library, for byte-level vocabularies; each distinct piece is encoded once while cached.
+    """Whole texts to ids with the tokenizers library, for byte-level vocabularies; each distinct piece is encoded once while known.
 
     The pre-tokeniser cuts before a single space that a word follows. So a text without two spaces in a row is
-    cut at its spaces, and its ids are those of its pieces, each with its space. New pieces are encoded as
-    one text; where each one's ids end follows from the tokens' bytes. Marks after letters are a pre-token of
-    their own, so "word," is " word" and ",". Other texts are encoded as they are. When CACHE_PIECES are known
-    they become the older generation, from which only those come back that are met again.
+    cut at its spaces, and its ids are those of its pieces, each with its space. Arrow cuts a batch of texts and
+    finds its distinct pieces; only these are looked up, and the ids of all pieces are gathered from one array.
+    New pieces are encoded as one text; where each one's ids end follows from the tokens' bytes. Marks
+    after letters are a pre-token of their own, so "word," is " word" and ",". Other texts are encoded as they
+    are. When CACHE_PIECES are known they become the older generation, from which only those come back that
+    are met again.
+
+    The strings of special tokens in a text get the special ids, the library's own setting; with as_text they
+    are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = as_text
+        self.special = [] if as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 2, np.int64)
+        self.n_bytes = np.zeros(max([*vocabulary.values(), *self.tokenizer.get_vocab().values()]) + 2, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)  # a byte-level token has a character for each byte
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        self.flat, self.at = np.zeros(1 << 16, "<u4"), np.zeros(1 << 16, np.int64)
+        self.older: dict[str, int] = {}
+        self.older_ids = self.flat, self.at
         self.tails: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
@@ -54,73 +72,126 @@ class Encoder:
             self.heads[piece] = self.plain(piece)
         return self.heads[piece]
 
+    def add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        """Append some pieces' ids to the array and give the pieces their places."""
+        n, m = len(self.known), len(pieces)
+        if not m:
+            return
+        ends = self.at[n] + np.cumsum(size)
+        while len(self.at) <= n + m:
+            self.at = np.concatenate((self.at, np.zeros_like(self.at)))
+        while len(self.flat) < ends[-1]:
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.at[n] : ends[-1]] = ids
+        self.at[n + 1 : n + m + 1] = ends
+        self.known.update(zip(pieces, range(n, n + m), strict=True))
+
     def learn(self, new: list[str]) -> None:
         text = " " + " ".join(new)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         raw = np.frombuffer(text.encode(), np.uint8)
         ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
-        cuts = [0, *(4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()]
-        flat = ids.tobytes()
-        self.known.update(zip(new, map(flat.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        self.add(new, ids, np.diff(np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1, prepend=0))
+
+    def retire(self) -> None:
+        self.older, self.older_ids, self.known = self.known, (self.flat, self.at), {}
+        self.flat, self.at = np.zeros(1 << 16, "<u4"), np.zeros(1 << 16, np.int64)
+        self.tails.clear()
+        self.heads.clear()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Where the ids of each of some distinct pieces lie in the array; new ones are learnt."""
         if len(self.known) > CACHE_PIECES:
-            self.older, self.known = self.known, {}
-            self.tails.clear()
-            self.heads.clear()
-        known, older, tails = self.known, self.older, self.tails
-        pieces = [None if "  " in t else t.split(" ") for t in texts]
-        new = set().union(*(some[1:] for some in pieces if some)).difference(known)
-        met = [p for p in new if p in older]
-        known.update(zip(met, map(older.__getitem__, met), strict=True))
-        new.difference_update(met)
+            self.retire()
+        known, tails = self.known, self.tails
+        at = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        lost = np.flatnonzero(at < 0)
+        if not len(lost):
+            return at
+        missing = new = [pieces[i] for i in lost.tolist()]
+        if self.older:
+            then = np.fromiter(map(self.older.get, missing, repeat(-1)), np.int64, len(missing))
+            met = np.flatnonzero(then >= 0)
+            self.add([missing[i] for i in met.tolist()], *_gather(*self.older_ids, then[met]))
+            new = [missing[i] for i in np.flatnonzero(then < 0).tolist()]
         if "" in new:
-            new.discard("")
-            known[""] = self.plain(" ")
-        new = list(new)
-        stems = [p.rstrip(_TAIL) for p in new]
-        joined = [(p, s) for p, s in zip(new, stems, strict=True) if p != s and s.isalpha()]
-        plain = set(new).difference([p for p, _ in joined]) if joined else set(new)
-        whole = plain | {s for _, s in joined if s not in known}
-        whole = list(whole)
+            new = [p for p in new if p]
+            ids = np.frombuffer(self.plain(" "), "<u4")
+            self.add([""], ids, np.array([len(ids)]))
+        joined = [(p, s) for p, s in zip(new, map(_STEM, new), strict=True) if p != s and s.isalpha()]
+        whole = list(set(new).difference([p for p, _ in joined]).union(s for _, s in joined if s not in known))
         for i in range(0, len(whole), 20_000):
             self.learn(whole[i : i + 20_000])
+        ids = []
         for p, stem in joined:
             tail = p[len(stem) :]
             if tail not in tails:
                 tails[tail] = self.plain(tail)
-            known[p] = known[stem] + tails[tail]
-        get = known.__getitem__
-        return [self.plain(t) if some is None else self.head(some[0]) + b"".join(map(get, some[1:])) for t, some in zip(texts, pieces, strict=True)]
+            place = known[stem]
+            ids.append(self.flat[self.at[place] : self.at[place + 1]].tobytes() + tails[tail])
+        self.add([p for p, _ in joined], np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        at[lost] = np.fromiter(map(known.__getitem__, missing), np.int64, len(missing))
+        return at
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a large_string array without nulls, one after the other, and where each one's begin (and the end)."""
+        other = pc.match_substring(texts, "  ")
+        for mark in self.special:
+            other = pc.or_(other, pc.match_substring(texts, mark))
+        other = np.asarray(other.to_numpy(zero_copy_only=False), bool)
+        cut = pc.split_pattern(texts.filter(pa.array(~other)), " ")
+        begin = cut.offsets.to_numpy()
+        begin, pieces = begin - begin[0], cut.flatten()
+        coded = pieces.dictionary_encode()
+        rest = np.ones(len(pieces), bool)
+        rest[begin[:-1]] = False  # the first piece has no space before it
+        codes = coded.indices.to_numpy()[rest]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = self.places(distinct)[codes]
+        body, size = _gather(self.flat, self.at, place)
+        ends = np.cumsum(size)
+        upto = np.concatenate(([0], ends))[begin - np.arange(len(begin))]  # where each regular text's body begins
+        heads = iter(map(self.head, pieces.take(pa.array(begin[:-1])).to_pylist()))
+        odd = iter(texts.filter(pa.array(other)).to_pylist())
+        parts, i = [], 0
+        for t in other.tolist():
+            if t:
+                parts.append([np.frombuffer(self.plain(next(odd)), "<u4")])
+            else:
+                parts.append([np.frombuffer(next(heads), "<u4"), body[upto[i] : upto[i + 1]]])
+                i += 1
+        n = np.array([sum(map(len, p)) for p in parts], np.int64)
+        return np.concatenate([x for p in parts for x in p]) if parts else body, np.concatenate(([0], np.cumsum(n)))
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, as_text: bool = False) -> Encoder:
+    return Encoder(path, as_text)
 
 
-def _batches_of_texts(column: pa.Array, chars: int = 2 << 20):
-    """Whole texts (null as empty), about two million bytes at a time, and the first one's row."""
+def _batches_of_texts(column: pa.Array, size: int = 4 << 20):
+    """Whole texts (null as empty), about four million bytes at a time, and the first one's row."""
     texts = column.cast(pa.large_string()).fill_null("")
     at = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() if len(texts) else []
     start = 0
     while start < len(texts):
-        end = max(start + 1, int(np.searchsorted(at, (at[start - 1] if start else 0) + chars, side="right")))
-        yield start, texts.slice(start, end - start).to_pylist()
+        end = max(start + 1, int(np.searchsorted(at, (at[start - 1] if start else 0) + size, side="right")))
+        yield start, texts.slice(start, end - start)
         start = end
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", files: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", files: int | None = None, as_text: bool = False) -> None:
     """Write (file, offset, key, n_tokens, tokens) in key order, a range of keys a file.
 
     Where the input's partitions already hold disjoint ranges of keys, they stay; else rows are dealt by range.
 
     Small integers are packed: Parquet v2 pages, delta encoding for keys, offsets and lengths, a dictionary for
     ids while it fits its page; zstd; bounded row groups and pages, whose column indexes allow reads of a few
-    pages by key. A task writes its file under another name and renames it when whole. offset is the count of ids before the row in its file, so a reader of the narrow columns knows
-    every position without the ids. Null and empty texts are the end id alone; null keys come first; rows with
-    equal keys are in the order of their texts' hashes.
+    pages by key. A task writes its file under another name and renames it when whole. offset is the count of ids
+    before the row in its file, so a reader of the narrow columns knows every position without the ids.
+
+    Null and empty texts are the end id alone; null keys come first; rows with equal keys are in the order of
+    their texts' hashes; an empty table gives an empty dataset. Only the key and the text are read, so other columns may have any names.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     if files or not _in_ranges(docs.select(F.col(key).alias("key"))):
@@ -132,7 +203,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     def encode(batches):
         from pyspark import TaskContext
 
-        file, last = _partition_id(), np.array([end_id], "<u4").tobytes()
+        file = _partition_id()
         store, top = pafs.FileSystem.from_uri(path)
         name, temporary = f"{top}/part-{file:06d}.parquet", f"{top}/_part-{file:06d}.{TaskContext.get().taskAttemptId()}"
         writer, held, size, done, n_rows = None, [], 0, 0, 0
@@ -151,10 +222,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
         for b in batches:
             for start, texts in _batches_of_texts(b.column(1)):
-                ids = encoder(tokenizer).encode(texts)
-                n = np.array([len(x) // 4 + 1 for x in ids], np.int64)
+                ids, cuts = encoder(tokenizer, as_text).encode(texts)
+                n = np.diff(cuts) + 1
                 ends = np.cumsum(n)
-                flat = np.frombuffer(last.join(ids) + last, "<i4")
+                flat = np.insert(ids, cuts[1:], end_id).view("<i4")
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
                 held.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(n), file, np.int32)), pa.array(done + ends - n), b.column(0).slice(start, len(n)), pa.array(n), lists], ["file", "offset", "key", "n_tokens", "tokens"]))
                 done, size, n_rows = done + int(ends[-1]), size + 4 * len(flat), n_rows + len(n)
@@ -231,6 +302,10 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op1_token_files(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Token files of all documents with end id 2, read back: (doc_id, start, n_tokens, ids_crc32); see write_tokens.
+
+    Null and empty texts have one id, the end; a null doc_id comes first, repeated rows each count, an empty table gives no rows.
+    """
     import public_tokenizers
 
     path = C.uri(C.fresh_dir(spark, "tokens"))
@@ -275,7 +350,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, separator: int = SEPA
         with store.open_output_stream(temporary) as out:
             for b in batches:
                 for start, texts in _batches_of_texts(b.column(1)):
-                    for t in texts:
+                    for t in texts.to_pylist():
                         ids = _ranks_encoder(tokenizer).encode_ordinary(t)
                         ids.append(separator)
                         out.write(np.array(ids, "<u2").tobytes())

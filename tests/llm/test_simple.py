@@ -87,7 +87,6 @@ def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rows = [r for r in odd_rows() if r[0] is not None] + [(1000, "a  b\n\n c\t\td \n e <|endoftext|>  ", "", "", 1, "", "")]
     spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(tokens.op1_token_files(spark, str(tmp_path)).collect(), key=lambda r: (r.start))
@@ -105,6 +104,28 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokens.op1_token_files(spark, f"{tmp_path}/none").count() == 0
 
 
+@pytest.mark.parametrize("as_text", [False, True])
+def test_pieces_have_the_ids_of_whole_texts(as_text, monkeypatch):
+    import pyarrow as pa
+
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 40)  # generations change all the time
+    path, rng = P.path("byte_bpe_50k.json"), random.Random(9)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = as_text
+    pieces = ["word", "word,", "'s", "it's", "\t", "\n", "x\ny", "é", "日本", "<|endoftext|>", "a<|endoftext|>b", "don't!", ",", ")(", "12", "ﬀ,", "\u00a0", "q" * 40, "", "W"]
+    texts = ["", " ", "  ", " a", "a ", "word,", *(rng.choice([" ", " ", " ", "  "]).join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(400))]
+    texts += ["".join(rng.choices("ab ,\n", k=20)) for _ in range(200)]
+    e = tokens.Encoder(path, as_text)
+    for i in range(0, len(texts), 50):
+        ids, at = e.encode(pa.array(texts[i : i + 50], pa.large_string()))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts[i : i + 50]]
+    ids, at = e.encode(pa.array([], pa.large_string()))
+    assert len(ids) == 0 and at.tolist() == [0]
+
+
 def test_encoded_pages_have_indexes_and_encodings(spark, tmp_path):
     import pyarrow.parquet as pq
 
