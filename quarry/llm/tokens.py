@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 from itertools import repeat
@@ -17,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from quarry.llm import common as C
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 450_000
+#: White space by the Unicode property, in RE2's notation.
+_WHITE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TAIL = ".,!?;:#%$*&\"')"
 _STEM = methodcaller("rstrip", _TAIL)
 ROW_GROUP_BYTES, PAGE_BYTES = 24 << 20, 256 << 10
@@ -33,8 +36,8 @@ def _gather(flat: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.nda
 class Encoder:
     """Whole texts to ids with the tokenizers library, for byte-level vocabularies; each distinct piece is encoded once while known.
 
-    The pre-tokeniser cuts before a single space that a word follows. So a text without two spaces in a row is
-    cut at its spaces, and its ids are those of its pieces, each with its space. Arrow cuts a batch of texts and
+    The pre-tokeniser cuts before a space that begins a run of white space and before one that a word follows. So a
+    text in which all spaces are such is cut at its spaces, and its ids are those of its pieces, each with its space. Arrow cuts a batch of texts and
     finds its distinct pieces; only these are looked up, and the ids of all pieces are gathered from one array.
     New pieces are encoded as one text; where each one's ids end follows from the tokens' bytes. Marks
     after letters are a pre-token of their own, so "word," is " word" and ",". Other texts are encoded as they
@@ -51,7 +54,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
-        self.special = [] if as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [] if as_text else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncut = "|".join([f"{_WHITE} {_WHITE}", rf"{_WHITE} \z", *special])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.n_bytes = np.zeros(max([*vocabulary.values(), *self.tokenizer.get_vocab().values()]) + 2, np.int64)
         for token, i in vocabulary.items():
@@ -135,10 +139,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a large_string array without nulls, one after the other, and where each one's begin (and the end)."""
-        other = pc.match_substring(texts, "  ")
-        for mark in self.special:
-            other = pc.or_(other, pc.match_substring(texts, mark))
-        other = np.asarray(other.to_numpy(zero_copy_only=False), bool)
+        other = np.asarray(pc.match_substring_regex(texts, self.uncut).to_numpy(zero_copy_only=False), bool)
         cut = pc.split_pattern(texts.filter(pa.array(~other)), " ")
         begin = cut.offsets.to_numpy()
         begin, pieces = begin - begin[0], cut.flatten()
@@ -169,8 +170,8 @@ def encoder(path: str, as_text: bool = False) -> Encoder:
     return Encoder(path, as_text)
 
 
-def _batches_of_texts(column: pa.Array, size: int = 4 << 20):
-    """Whole texts (null as empty), about four million bytes at a time, and the first one's row."""
+def _batches_of_texts(column: pa.Array, size: int = 3 << 20):
+    """Whole texts (null as empty), about three million bytes at a time, and the first one's row."""
     texts = column.cast(pa.large_string()).fill_null("")
     at = pc.cumulative_sum(pc.binary_length(texts)).to_numpy() if len(texts) else []
     start = 0
@@ -219,6 +220,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
                 )
             writer.write_table(table, row_group_size=len(table))
             held, size = [], 0
+            del table
+            C.trim()
 
         for b in batches:
             for start, texts in _batches_of_texts(b.column(1)):

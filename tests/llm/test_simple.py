@@ -116,7 +116,7 @@ def test_pieces_have_the_ids_of_whole_texts(as_text, monkeypatch):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = as_text
     pieces = ["word", "word,", "'s", "it's", "\t", "\n", "x\ny", "é", "日本", "<|endoftext|>", "a<|endoftext|>b", "don't!", ",", ")(", "12", "ﬀ,", "\u00a0", "q" * 40, "", "W"]
-    texts = ["", " ", "  ", " a", "a ", "word,", *(rng.choice([" ", " ", " ", "  "]).join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(400))]
+    texts = ["", " ", "  ", " a", "a ", "word,", "word \u00a0 \u00a0", "a \t \n", "a  b", "a   b", "a\n ", "a \u2003 b", *(rng.choice([" ", " ", " ", "  "]).join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(400))]
     texts += ["".join(rng.choices("ab ,\n", k=20)) for _ in range(200)]
     e = tokens.Encoder(path, as_text)
     for i in range(0, len(texts), 50):
