@@ -16,7 +16,10 @@ The metric is the Jaccard distance; two documents link at a distance of at most
    of sizes rule out most pairs; the rest are compared exactly. Documents that are already known to be in one
    component are not compared again, so a dense group of m near copies costs m steps, not m * m rows.
 
-Equal sets are one node. Regions beyond MAX_REGION shingles are cut into blocks, joined pair by pair of blocks.
+Equal sets are one node. Regions beyond MAX_REGION shingles or MAX_DOCS sets are cut into blocks. First each block is
+joined for itself, together with the region's smallest set; what is then linked with that set needs no comparison
+with each other any more. What is not is compared with all blocks of the linked ones, and among itself by pairs of
+blocks. So a dense group of near copies, however large, costs about one pass, and no task holds it whole.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from quarry.llm import common as C
@@ -35,8 +39,10 @@ EXTRA = 0.05
 #: A shingle in more than this share of a sample of the documents (one in SAMPLE, by hash) is frequent. This only
 #: sets the order and how entries are dealt out; results do not depend on it.
 FREQUENT, SAMPLE, MIN_SEEN = 0.004, 8, 12
-ENTRIES_PER_CELL, MAX_REGION, LEAF, PIVOTS = 400_000, 4_000_000, 48, 8
+ENTRIES_PER_CELL, MAX_REGION, MAX_DOCS, LEAF, PIVOTS = 250_000, 1_000_000, 256, 48, 8
 BROADCAST_ROWS = 500_000
+#: Sets that a task of the first scan remembers, so that copies in one partition add no entries twice.
+KNOWN_SETS = 500_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -126,6 +132,8 @@ def _nodes(texts: DataFrame, k: int, percent: int, frequent, cells: int) -> Data
                     g = g[order]
                 window, _ = window_sizes(size, percent)
                 fresh = np.zeros(m, bool)  # a set that this task has seen adds no entries
+                if len(known) > KNOWN_SETS:
+                    known.clear()  # what is entered twice is dropped with its shingle's cell
                 for i, x in enumerate(d1.tolist()):
                     if size[i] and x not in known:
                         known.add(x)
@@ -156,10 +164,9 @@ def _shared_entries(cells: int):
     """Of a cell's entries, those of shingles that several sets have; of frequent shingles, all."""
 
     def work(key, table):
-        e = np.frombuffer(b"".join(table.column("blob").to_pylist()), [("g", "<u8"), ("d", "<i8"), ("n", "<u4")])
-        g, d = e["g"], e["d"]
-        order = np.lexsort((d, g))
-        g, d, n = g[order], d[order], e["n"][order]
+        e = np.concatenate([np.frombuffer(_bytes_of(x), [("g", "<u8"), ("d", "<i8"), ("n", "<u4")]) for x in table.column("blob").chunks])
+        e = e[np.lexsort((e["d"], e["g"]))]
+        g, d, n = e["g"], e["d"], e["n"]
         first = np.ones(len(g), bool)
         first[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
         g, d, n = g[first], d[first], n[first]
@@ -169,11 +176,22 @@ def _shared_entries(cells: int):
             several[1:] |= same
             several[:-1] |= same
             g, d, n = g[several], d[several], n[several]
-        return pa.table({"g": g.view(np.int64), "d1": d, "n": n.astype(np.int64)})
+        out = pa.table({"g": np.ascontiguousarray(g).view(np.int64), "d1": np.ascontiguousarray(d), "n": n.astype(np.int64)})
+        del e, g, d, n, first
+        C.trim()
+        return out
 
     return work
 
 
+def _bytes_of(column: pa.Array) -> memoryview:
+    """The bytes of a binary column without nulls, one value after the other, in place."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    raw = column.buffers()[2]
+    return memoryview(raw)[at[0] : at[-1]] if raw is not None else memoryview(b"")
+
+
 class Sets:
     """Sets as runs of small integers, one array."""
 
@@ -258,22 +276,95 @@ class Sets:
                 flat, starts = self.gather(some[held])
 
 
+def _sets_of(table, percent: int) -> tuple[Sets, np.ndarray]:
+    """A group's sets, each once, the smallest id first, and the rows of the table that they come from."""
+    ids = table.column("d1").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
+    members = table.column("members").combine_chunks().take(pa.array(order))
+    flat = np.frombuffer(_bytes_of(members), "<u8")
+    size = pc.binary_length(members).to_numpy().astype(np.int64) // 8
+    return Sets(ids[order], flat, np.concatenate(([0], np.cumsum(size))), percent), order
+
+
+def _links(s: Sets, p) -> pa.Table:
+    """(p, a, b): each set that is linked with a smaller one, and the smallest of its component."""
+    roots = np.array([s.find(i) for i in range(len(s.ids))], np.int64)
+    linked = np.flatnonzero(roots != np.arange(len(s.ids)))
+    return pa.table({"p": pa.array([p] * len(linked), pa.int64()), "a": s.ids[linked], "b": s.ids[roots[linked]]})
+
+
 def _region_links(percent: int):
-    def work(table):
-        ids = table.column("d1").to_numpy()
-        sets = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
-        order = np.argsort(ids, kind="stable")
-        order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
-        ids, sets = ids[order], [sets[i] for i in order]
-        s = Sets(ids, np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))), percent)
-        s.join(np.arange(len(ids)))
-        roots = np.array([s.find(i) for i in range(len(ids))])
-        linked = np.flatnonzero(roots != np.arange(len(ids)))
-        return pa.table({"a": ids[linked], "b": ids[roots[linked]]})
+    def work(key, table):
+        s, _ = _sets_of(table, percent)
+        s.join(np.arange(len(s.ids)))
+        return _links(s, key[0].as_py())
 
     return work
 
 
+def _late_links(percent: int):
+    """Of a block of sets that are known to be linked with each other, and sets that may be linked with them; or of the latter alone."""
+
+    def work(key, table):
+        s, rows = _sets_of(table, percent)
+        far = np.asarray(table.column("far").to_numpy(zero_copy_only=False), bool)[rows]
+        if far.all():
+            s.join(np.arange(len(s.ids)))
+            return _links(s, key[0].as_py())
+        near = np.flatnonzero(~far)
+        flat, starts = s.gather(near)
+        for x in near[1:].tolist():
+            s.union(near[0], x)
+        for x in np.flatnonzero(far).tolist():
+            n = s.shared(x, flat, starts)
+            if (100 * n >= s.percent * (s.size[near] + s.size[x] - n)).any():
+                s.union(near[0], x)
+        return _links(s, key[0].as_py())
+
+    return work
+
+
+def _regions(pairs: DataFrame) -> DataFrame:
+    """(p, c, m, blocks): each region's count of sets, its smallest set, and how many blocks it is cut into."""
+    blocks = F.ceil(F.greatest(F.sum("n") / MAX_REGION, F.count(F.lit(1)) / MAX_DOCS)).cast("int")
+    return pairs.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.min("d1").alias("m"), blocks.alias("blocks"))
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("d1"), F.col(blocks)).cast("int")
+
+
+def _every(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
+def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what is connected in any region. full: (d1, members); pairs: (p, d1, n); regions: (p, blocks, low)."""
+    dealt = pairs.join(regions, "p")
+    first = F.col("d1") == F.col("low")
+    own = dealt.where(~first | (F.col("blocks") == 1)).withColumn("i", _block("blocks"))
+    own = own.unionByName(dealt.where(first & (F.col("blocks") > 1)).withColumn("i", _every("blocks")))
+    kind = "p long, a long, b long"
+    links = C.materialise(full.join(own.select("p", "d1", "i"), "d1").groupBy("p", "i").applyInArrow(_region_links(percent), kind))
+    large = regions.where("blocks > 1")
+    if not large.limit(1).count():
+        return links.select("a", "b")
+    near = links.join(large.select("p", "low"), "p").where("b = low").select("p", F.col("a").alias("d1")).distinct().withColumn("near", F.lit(True))
+    marked = dealt.where("blocks > 1").join(C.materialise(near), ["p", "d1"], "left").select("p", "d1", "n", (~F.coalesce("near", first)).alias("far"))
+    marked = C.materialise(marked)
+    left = _regions(marked.where("far")).select("p", F.col("blocks").alias("far_blocks"))
+    parts = C.materialise(left.join(_regions(marked.where("not far")).select("p", "blocks"), "p"))
+    marked = marked.join(parts, "p")  # regions without any set left over are done
+    block, zero = _block("blocks"), F.lit(0)
+    late = marked.where("not far").select("p", "d1", "far", zero.alias("late"), block.alias("i"), zero.alias("j"))
+    late = late.unionByName(marked.where("far").select("p", "d1", "far", zero.alias("late"), _every("blocks").alias("i"), zero.alias("j")))
+    among = marked.where("far").withColumn("x", _block("far_blocks")).withColumn("y", _every("far_blocks"))
+    late = late.unionByName(among.select("p", "d1", "far", F.lit(1).alias("late"), F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
+    more = full.join(late, "d1").groupBy("p", "late", "i", "j").applyInArrow(_late_links(percent), kind)
+    return links.select("a", "b").union(more.select("a", "b"))
+
+
 def _text_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
@@ -298,11 +389,12 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
     need = F.lit(1) + F.floor(F.lit(EXTRA) * F.ceil(F.col("n") * percent / 100))
     likely = shared.groupBy("d1").agg(F.count(F.lit(1)).alias("seen"), F.first("n").alias("n")).where(F.col("seen") >= need).select("d1")
     alive = C.materialise(shared.join(likely, "d1"))
-    pivots = alive.groupBy("g").agg(F.min("d1").alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "p")
+    # what is joined to a table is written first: the join then has shuffles of its own, whose hot keys Spark can split
+    pivots = C.materialise(alive.groupBy("g").agg(F.min("d1").alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "p"))
     held = alive.join(pivots, "g").groupBy("p", "d1").agg(F.count(F.lit(1)).alias("w"), F.first("n").alias("n"))
     light = F.sum("w").over(W.partitionBy("d1").orderBy("w", "p"))
     pairs = C.materialise(held.withColumn("upto", light).where(2 * F.col("upto") > need - 1).select("p", "d1", "n"))
-    regions = pairs.groupBy("p").agg(F.ceil(F.sum("n") / MAX_REGION).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c")).where("c > 1").select("p", "blocks")
+    regions = C.materialise(_regions(pairs).where("c > 1").select("p", "blocks", F.col("m").alias("low")))
     # the sets of the documents in regions, from their texts
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
     sets = nodes.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("rep"), F.max("n").alias("n"))
@@ -320,12 +412,8 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([b.column("d1").slice(row, m), pa.array([g[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["d1", "members"])
                 row += m
 
-    full = found.mapInArrow(members, "d1 long, members binary")
-    block = F.pmod(F.xxhash64("d1"), F.col("blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = pairs.select("p", "d1").join(regions, "p").withColumn("i", block).withColumn("j", F.explode(others))
-    dealt = dealt.select("d1", "p", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-    links = full.join(dealt, "d1").groupBy("p", "i", "j").applyInArrow(_region_links(percent), "a long, b long")
+    full = C.materialise(found.mapInArrow(members, "d1 long, members binary"))
+    links = C.materialise(_all_links(full, pairs, regions, percent))
     roots = components(links)
     named = sets.join(roots.withColumnRenamed("node", "d1"), "d1", "left").withColumn("root", F.coalesce("root", "d1"))
     best = C.materialise(named.select("d1", "d2", "root", "rep"))
@@ -339,21 +427,26 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stand for their components (with the smallest doc_id), with their own columns.
 
-    Rows that equal each other in doc_id and text count as copies: one of them stays. Texts without words stay.
+    Rows that equal each other in doc_id and text count as copies: one of them stays. Null and empty texts and
+    texts without words stay, all of them; a null doc_id is larger than any other. Of rows linked with each other the one with
+    the smallest doc_id stays, on a tie that of the smaller hash of its text. Other columns may have any names; an
+    empty table gives no rows.
     """
-    names = docs.columns
     found = C.materialise(near_copies(docs, shingle, percent))
-    gone = found.where(~(F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("k") == F.col("rep.k")))).select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct()
+    gone = found.where(~(F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("k") == F.col("rep.k")))).select(F.col("doc_id").alias("id"), F.col("k").alias("hash")).distinct()
     gone = C.materialise(gone)
     side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    keyed = docs.withColumn("__k", _text_key())
-    kept = keyed.join(side, (keyed["__k"] == F.col("_k")) & keyed["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    keyed = docs.select(C.row_of(docs), F.col("doc_id"), _text_key().alias("k"))
+    kept = keyed.join(side, (F.col("k") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_anti")
     if found.where("n_shingles > 0").groupBy("doc_id", "k").count().where("count > 1").limit(1).count():
-        wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        kept = kept.where(wordless).unionByName(kept.where(~wordless).dropDuplicates(["doc_id", "__k"]))
-    return kept.select(*names)
+        wordless = ~F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.where(wordless).unionByName(kept.where(~wordless).dropDuplicates(["doc_id", "k"]))
+    return kept.select("row.*")
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    """Words in lower case (A-Z), 4-word shingles, links at 85 percent."""
+    """Words in lower case (A-Z), 4-word shingles, links at 85 percent: (doc_id, n_shingles, component_id); see near_copies.
+
+    Null and empty texts have no shingles and link with nothing; repeated rows each get the same answer; an empty table gives no rows.
+    """
     return near_copies(C.table(spark, sf_dir, "documents"), 4, 85).select("doc_id", "n_shingles", "component_id")

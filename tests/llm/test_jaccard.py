@@ -70,6 +70,8 @@ def corpus(seed, docs=150):
 def test_components_match_all_pairs(spark, monkeypatch, k, percent, tiny):
     if tiny:  # cut regions and divide cells even here
         monkeypatch.setattr(jaccard, "MAX_REGION", 3000)
+        monkeypatch.setattr(jaccard, "MAX_DOCS", 7)
+        monkeypatch.setattr(jaccard, "KNOWN_SETS", 5)
         monkeypatch.setattr(jaccard, "LEAF", 4)
         monkeypatch.setattr(jaccard, "MIN_SEEN", 3)
     rows = corpus(k)
@@ -77,6 +79,32 @@ def test_components_match_all_pairs(spark, monkeypatch, k, percent, tiny):
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.n_shingles, -1 if r.component_id is None else r.component_id) for r in got) == slow(rows, k, percent)
 
 
+def test_large_regions_in_two_steps(spark):
+    """A region of a dense group, a chain that leaves it, and a second group, in many blocks."""
+    rng = np.random.default_rng(4)
+    base, sets = rng.choice(1 << 40, 60, replace=False), []
+    for i in range(60):
+        x = base.copy()
+        x[: i // 4] = rng.integers(1 << 41, 1 << 42, i // 4)  # farther and farther from the first
+        sets += [x, np.append(x[:-1], rng.integers(1 << 42))]
+    sets += [np.append(rng.permutation(base)[:40], rng.integers(1 << 43, 1 << 44, 20)) for _ in range(10)]
+    rows = [(i, np.unique(x).astype("<u8").tobytes()) for i, x in enumerate(sets)]
+    full = spark.createDataFrame(rows, "d1 long, members binary")
+    pairs = spark.createDataFrame([(7, i, 60) for i, _ in rows], "p long, d1 long, n long")
+    plain = jaccard.Sets(np.arange(len(sets)), np.concatenate([np.unique(x) for x in sets]), np.concatenate(([0], np.cumsum([len(np.unique(x)) for x in sets]))), 85)
+    plain.leaf(np.arange(len(sets)), np.zeros((0, len(sets))))
+    want = [plain.find(i) for i in range(len(sets))]
+    assert 1 < len(set(want)) < len(sets)
+    for blocks in (1, 3, 9):
+        regions = spark.createDataFrame([(7, blocks, 0)], "p long, blocks int, low long")
+        got = jaccard.Sets(np.arange(len(sets)), np.arange(1), np.zeros(len(sets) + 1, int), 85)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(jaccard, "MAX_DOCS", max(1, len(sets) // blocks))
+            for a, b in jaccard._all_links(full, pairs, regions, 85).collect():
+                got.union(a, b)
+        assert [got.find(i) for i in range(len(sets))] == want, blocks
+
+
 def test_keep_one(spark):
     rows = corpus(9, 60)
     want = slow(rows, 5, 80)
