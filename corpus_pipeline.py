@@ -31,7 +31,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Choose 80 percent of the words to the target weights, no document twice."""
     common.ready(spark)
-    return mixing.mix(docs, percent=80, max_epochs=1).drop("_mix")
+    return mixing.mixed(docs, percent=80, max_epochs=1).select("row.*")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

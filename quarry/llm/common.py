@@ -19,7 +19,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CHUNK_BYTES = 2 << 20
 U64 = np.uint64
@@ -53,13 +53,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_of(docs: DataFrame) -> Column:
+    """All columns of docs as one column "row", beside which other columns may have any names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def schema_of(source: DataFrame, columns: list[str], more: str) -> T.StructType:
+    """The types of some columns of source, whatever their names, and those that more says."""
+    return T.StructType([*(source.schema[c] for c in columns), *T.StructType.fromDDL(more).fields])
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that all machines share: spark.checkpoint.dir, or a temporary one where that is unset and Spark runs on this machine alone."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="quarry-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(own)

@@ -115,12 +115,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that leak no item."""
-    gone = C.materialise(leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct())
-    keyed = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return keyed.join(_small(gone), (keyed["__k"] == F.col("_k")) & keyed["doc_id"].eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    """The rows of docs that leak no item, with their own columns, whatever their names.
+
+    Null and empty texts leak nothing and stay; equal rows stay or go together; an empty table on either side drops nothing.
+    """
+    gone = C.materialise(leaks(docs, benchmark).select(F.col("doc_id").alias("id"), F.col("k").alias("hash")).distinct())
+    keyed = docs.select(C.row_of(docs), F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("k"))
+    return keyed.join(_small(gone), (F.col("k") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_anti").select("row.*")
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items: (doc_id, item_id, similarity, start) of each leak; see leaks.
+
+    Null and empty texts give no rows, nor do empty tables; repeated rows give one; a null doc_id or item_id is an id.
+    """
     found = leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "start")

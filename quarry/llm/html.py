@@ -421,6 +421,8 @@ def extract(pages: DataFrame, html: str = "html", carry: list[str] | None = None
     """The columns in carry (page_id and url), then text and n_chars, its code points.
 
     Each row on its own, so hot hosts and repeated rows do not matter; the model is broadcast (under 300 kB).
+    Null and empty pages and pages without main text have an empty text; null ids stay; an empty table gives no
+    rows; only the columns named are read, so others may have any names.
     """
     carry = carry or ["page_id", "url"]
     weights = pages.sparkSession.sparkContext.broadcast(trained().p)
@@ -435,9 +437,9 @@ def extract(pages: DataFrame, html: str = "html", carry: list[str] | None = None
                 texts = main_texts(part.column(len(carry)).to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*carry, "text", "n_chars"])
 
-    kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in carry)
-    return source.mapInArrow(work, f"{kinds}, text string, n_chars long")
+    return source.mapInArrow(work, C.schema_of(source, carry, "text string, n_chars long"))
 
 
 def op8_html_extraction(spark, sf_dir: str) -> DataFrame:
+    """The main text of all pages: (page_id, url, text, n_chars); see extract."""
     return extract(C.table(spark, sf_dir, "pages"))

@@ -337,4 +337,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", model: tuple
 
 
 def op2_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    """The scores of all documents by a network trained on all of them: (doc_id, n_words, pseudo_log_likelihood, per_word); see score.
+
+    Null and empty texts have no words, a score of 0 and a null per_word; repeated rows score alike; an empty table gives no rows.
+    """
     return score(C.table(spark, sf_dir, "documents"))

@@ -69,9 +69,11 @@ def budgets(leaves: DataFrame, total: int, weights: dict[str, dict[str, int]], m
     return leaves.join(given, LEVELS).withColumnRenamed("given", "budget")
 
 
-def _labelled(docs: DataFrame) -> DataFrame:
+def _labelled(docs: DataFrame, key: str) -> DataFrame:
+    """(row, leaf, key, n): all columns of docs as one, the leaf's labels, the key and the count of words."""
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
-    return docs.withColumns({"_l_lang": none("lang"), "_l_source": none("source"), "_l_domain": domain_of(none("source"))})
+    leaf = F.struct(domain_of(none("source")).alias("domain"), none("lang").alias("lang"), none("source").alias("source"))
+    return docs.select(C.row_of(docs), leaf.alias("leaf"), F.col(f"`{key}`").alias("key"), words(F.col("text")).alias("n"))
 
 
 def order_key(seed: int, epoch: Column, key: Column) -> Column:
@@ -87,11 +89,16 @@ def mix(docs: DataFrame, weights: dict = WEIGHTS, percent: int = BUDGET_PERCENT,
     of the next epoch, in its seeded order, the documents whose running sum of tokens stays within the rest:
     no document is cut, the next one that does not fit ends the prefix. Documents without tokens cost nothing
     and are copied with the epochs whole or where the prefix reaches them. Rows with the same key in a leaf are
-    chosen together or not at all. Null labels form the leaf "none"; an empty table gives no rows.
+    chosen together or not at all. Null labels form the leaf "none"; an empty table gives no rows. A column _mix of
+    docs is replaced; all others may have any names.
     """
-    named = _labelled(docs)
-    narrow = named.select(F.col("_l_domain").alias("domain"), F.col("_l_lang").alias("lang"), F.col("_l_source").alias("source"), F.col(f"`{key}`").alias("key"), words(F.col("text")).alias("n"))
-    narrow = C.materialise(narrow)
+    return mixed(docs.drop("_mix"), weights, percent, max_epochs, seed, key).select("row.*", F.col("mix").alias("_mix"))
+
+
+def mixed(docs: DataFrame, weights: dict = WEIGHTS, percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, key: str = "doc_id") -> DataFrame:
+    """(row, mix): the rows that mix chooses, all their columns as one, and its struct."""
+    named = _labelled(docs, key)
+    narrow = C.materialise(named.select("leaf.*", "key", "n"))
     leaves = narrow.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     leaves = C.materialise(leaves)
     total, rows, n_leaves = leaves.agg(F.sum("tokens"), F.sum("docs"), F.count(F.lit(1))).first()
@@ -112,17 +119,20 @@ def mix(docs: DataFrame, weights: dict = WEIGHTS, percent: int = BUDGET_PERCENT,
     running = F.sum("n").over(W.partitionBy(*LEVELS).orderBy("h", "key")) + F.col("before")
     cuts = last.withColumn("upto", running).groupBy(*LEVELS).agg(F.min(F.when(F.col("upto") > F.col("rest"), F.struct("h", F.coalesce(F.col("key").cast("string"), F.lit("null")).alias("k")))).alias("cut"))
     final = C.materialise(ends.join(cuts, LEVELS, "left").select(F.struct(*LEVELS).alias("leaf"), F.struct("whole", "bucket", "cut").alias("p")))
-    leaf = F.struct(F.col("_l_domain").alias("domain"), F.col("_l_lang").alias("lang"), F.col("_l_source").alias("source"))
-    joined = named.withColumn("_leaf", leaf).join(hint(final), F.col("_leaf") == F.col("leaf"))
-    h = order_key(seed, F.col("p.whole"), F.col(f"`{key}`"))
-    place = F.struct(h.alias("h"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null")).alias("k"))
+    joined = named.withColumnRenamed("leaf", "own").join(hint(final), F.col("own") == F.col("leaf"))
+    h = order_key(seed, F.col("p.whole"), F.col("key"))
+    place = F.struct(h.alias("h"), F.coalesce(F.col("key").cast("string"), F.lit("null")).alias("k"))
     inside = F.col("p.bucket").isNull() | F.coalesce(place < F.col("p.cut"), F.lit(False))
     copies = (F.col("p.whole") + F.when(inside, 1).otherwise(0)).cast("int")
-    out = joined.withColumn("_mix", F.struct("_leaf.*", words(F.col("text")).alias("n_tokens"), copies.alias("copies")))
-    return out.where("_mix.copies > 0").select(*docs.columns, "_mix")
+    out = joined.select("row", F.struct("leaf.*", F.col("n").alias("n_tokens"), copies.alias("copies")).alias("mix"))
+    return out.where("mix.copies > 0")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
+    """The mixture of all documents: (doc_id, domain, lang, source, n_tokens, copies); see mix.
+
+    Null and empty texts cost nothing; null labels are "none"; repeated rows are chosen together; an empty table gives no rows.
+    """
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mix(docs).select("doc_id", "_mix.*")
 

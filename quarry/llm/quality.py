@@ -100,9 +100,14 @@ def annotate(docs: DataFrame, text: str = "text", host: str = "source", carry: l
     """The columns in carry (all, if None) of each row, then struct quality with STATS, host_rejected and kept.
 
     Null or empty texts fail the base rules; rows without a host form one host; repeated rows each count; an
-    empty table gives no rows. Columns of docs may have any names but quality.
+    empty table gives no rows. A column quality of docs is replaced; all others may have any names.
     """
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() != "quality"]
+    return _annotated(docs, text, host, carry).select("row.*", "quality")
+
+
+def _annotated(docs: DataFrame, text: str, host: str, carry: list[str]) -> DataFrame:
+    """(row, quality): the columns in carry as one, and the verdict."""
     bad = C.materialise(host_verdicts(C.materialise(tally(docs, text, host))).where("rejected").select(F.struct("host").alias("h")))
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
 
@@ -111,8 +116,7 @@ def annotate(docs: DataFrame, text: str = "text", host: str = "source", carry: l
             q = document_stats(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("host"), pa.StructArray.from_arrays(q.columns, q.schema.names)], ["row", "host", "q"])
 
-    row = source.schema["row"].dataType.simpleString()
-    scored = source.mapInArrow(stats, f"row {row}, host string, q struct<{STATS.replace(' long', ':long').replace(' boolean', ':boolean')}>")
+    scored = source.mapInArrow(stats, C.schema_of(source, ["row", "host"], f"q struct<{STATS.replace(' long', ':long').replace(' boolean', ':boolean')}>"))
     if bad.count() <= BROADCAST_HOSTS:
         joined = scored.join(F.broadcast(bad), scored.host.eqNullSafe(F.col("h.host")), "left")
     else:
@@ -121,13 +125,17 @@ def annotate(docs: DataFrame, text: str = "text", host: str = "source", carry: l
         joined = dealt.join(salted, (dealt.salt == salted.salt) & dealt.host.eqNullSafe(salted.h.host), "left")
     rejected = F.col("h").isNotNull()
     quality = F.struct(F.col("q.*"), rejected.alias("host_rejected"), (~F.col("q.base_failed") & ~rejected).alias("kept"))
-    return joined.select("row.*", quality.alias("quality"))
+    return joined.select("row", quality.alias("quality"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows that pass, with their own columns."""
-    return annotate(docs, text, host).where("quality.kept").drop("quality")
+    """The rows that pass, with their own columns, whatever their names; for odd rows see annotate."""
+    return _annotated(docs, text, host, docs.columns).where("quality.kept").select("row.*")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
+    """The statistics and verdicts of all documents: (doc_id, STATS..., host_rejected, kept); see annotate.
+
+    Null and empty texts have no words and fail; rows without a source form one host; repeated rows each count; an empty table gives no rows.
+    """
     return annotate(C.table(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", "quality.*")

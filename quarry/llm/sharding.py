@@ -27,7 +27,11 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
 
 
 def assign(docs: DataFrame, weights: list[float], key: str = "doc_id") -> DataFrame:
-    """docs with a column shard; rows with equal keys share a shard. No shuffle."""
+    """docs with a column shard; rows with equal keys share a shard. No shuffle.
+
+    A null key is a key of its own; texts do not matter; an empty table gives no rows. A column shard of docs is
+    replaced, in its place; all others may have any names.
+    """
     return docs.withColumn("shard", rendezvous(F.col(f"`{key}`"), weights))
 
 

@@ -382,7 +382,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     """
     carry = ["doc_id"] if carry is None else carry
     source = docs.select(F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))
-    row = source.schema["row"].dataType.simpleString()
     first, second = repeated_spans(source)  # the same columns in all scans, else Spark may deal rows otherwise
 
     def work(batches):
@@ -419,10 +418,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
         _same(known, rows, size)
 
     tail = "kept_sha256 string" if digest else "spans array<struct<first:bigint,words:bigint>>, clean string"
-    out = C.materialise(source.mapInArrow(work, f"row {row}, n_words long, n_removed long, {tail}"))
+    out = C.materialise(source.mapInArrow(work, C.schema_of(source, ["row"], f"n_words long, n_removed long, {tail}")))
     C.remove(docs.sparkSession, first, second)
     return out.select("row.*", *[c for c in out.columns if c != "row"])
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """All documents without words in repeated windows: (doc_id, n_words, n_removed, kept_sha256); see remove_repeats.
+
+    Null and empty texts have no words; repeated rows lose all windows that they share; an empty table gives no rows.
+    """
     return remove_repeats(C.table(spark, sf_dir, "documents"), digest=True)

@@ -1,8 +1,10 @@
 """The pipeline's stages against brute force on a small corpus."""
 
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("quarry.llm")
 pytest.importorskip("corpus_pipeline")
@@ -60,3 +62,31 @@ def test_pipeline(spark, tmp_path):
     words = lambda some: sum(len(dict((r[0], r[1]) for r in rows)[d].split()) for d in some)
     assert 0.6 * words(clean) < words(chosen) <= 0.8 * words(clean)
     assert all(r.shard == slow_shard(r.doc_id, 8) for r in got)
+
+
+CLASHES = ["quality", "_k", "_id", "__k", "p", "leaf", "shard", "row", "k", "hash", "id", "mix", "_mix", "own", "h", "host", "q", "salt", "w", "item_id", "copies", "domain", "bucket", "key", "n", "d1", "rep", "odd name.x"]
+
+
+def test_stages_take_columns_of_any_names_and_odd_rows(spark, tmp_path):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(200)]
+    bench = spark.createDataFrame([(0, " ".join(vocab[:20])), (1, None), (None, "a b c d e f")], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = [" ".join(rng.choices(vocab, k=30)) for _ in range(20)]
+    texts += [texts[0], " ".join(vocab[:20]) + " more words here and there", None, "", "\n", "long " * 5000]
+    rows = [(i, t, "en" if i % 3 else None, f"s{i % 2}" if i % 5 else None, 1) for i, t in enumerate(texts)]
+    rows += [rows[1], (None, texts[2], None, None, None), (None, None, None, None, None)]
+    plain = spark.createDataFrame(rows, SCHEMA)
+    extra = plain
+    for i, c in enumerate(CLASHES):
+        extra = extra.withColumn(c, F.lit(f"mine {i}") if i % 2 else F.lit(i))
+    for name, stage in corpus_pipeline.STAGES:
+        want = Counter((r.doc_id, r.text) for r in stage(spark, plain, str(tmp_path)).collect())
+        got = stage(spark, extra, str(tmp_path))
+        shown = got.collect()
+        assert Counter((r.doc_id, r.text) for r in shown) == want, name
+        assert got.columns == extra.columns, name  # the last stage puts its shard in place of the column of that name
+        mine = {c: v for c, v in extra.first().asDict().items() if c in CLASHES and (c, name) != ("shard", "shards")}
+        assert all(r[c] == v for r in shown for c, v in mine.items()), name
+        assert stage(spark, extra.limit(0), str(tmp_path)).count() == 0, name
+    assert all(isinstance(r.shard, int) and r.shard < 8 for r in shown)
