@@ -39,7 +39,7 @@ EXTRA = 0.05
 #: A shingle in more than this share of a sample of the documents (one in SAMPLE, by hash) is frequent. This only
 #: sets the order and how entries are dealt out; results do not depend on it.
 FREQUENT, SAMPLE, MIN_SEEN = 0.004, 8, 12
-ENTRIES_PER_CELL, MAX_REGION, MAX_DOCS, LEAF, PIVOTS = 250_000, 1_000_000, 256, 48, 8
+ENTRIES_PER_CELL, MAX_REGION, MAX_DOCS, LEAF, PIVOTS = 250_000, 1_000_000, 128, 48, 8
 BROADCAST_ROWS = 500_000
 #: Sets that a task of the first scan remembers, so that copies in one partition add no entries twice.
 KNOWN_SETS = 500_000
@@ -339,6 +339,12 @@ def _every(blocks: str) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df, written once; to be broadcast if it has few rows of numbers. Sets then travel to their regions alone."""
+    df = C.materialise(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect what is connected in any region. full: (d1, members); pairs: (p, d1, n); regions: (p, blocks, low)."""
     dealt = pairs.join(regions, "p")
@@ -346,7 +352,7 @@ def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: i
     own = dealt.where(~first | (F.col("blocks") == 1)).withColumn("i", _block("blocks"))
     own = own.unionByName(dealt.where(first & (F.col("blocks") > 1)).withColumn("i", _every("blocks")))
     kind = "p long, a long, b long"
-    links = C.materialise(full.join(own.select("p", "d1", "i"), "d1").groupBy("p", "i").applyInArrow(_region_links(percent), kind))
+    links = C.materialise(full.join(_small(own.select("p", "d1", "i")), "d1").groupBy("p", "i").applyInArrow(_region_links(percent), kind))
     large = regions.where("blocks > 1")
     if not large.limit(1).count():
         return links.select("a", "b")
@@ -361,7 +367,7 @@ def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: i
     late = late.unionByName(marked.where("far").select("p", "d1", "far", zero.alias("late"), _every("blocks").alias("i"), zero.alias("j")))
     among = marked.where("far").withColumn("x", _block("far_blocks")).withColumn("y", _every("far_blocks"))
     late = late.unionByName(among.select("p", "d1", "far", F.lit(1).alias("late"), F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
-    more = full.join(late, "d1").groupBy("p", "late", "i", "j").applyInArrow(_late_links(percent), kind)
+    more = full.join(_small(late), "d1").groupBy("p", "late", "i", "j").applyInArrow(_late_links(percent), kind)
     return links.select("a", "b").union(more.select("a", "b"))
 
 
@@ -399,8 +405,7 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
     sets = nodes.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("rep"), F.max("n").alias("n"))
     wanted = C.materialise(pairs.select("d1").distinct().join(sets, "d1").select("d1", "rep.doc_id", "rep.k"))
-    few = wanted.count() <= BROADCAST_ROWS
-    side = (F.broadcast(wanted) if few else wanted).select(F.col("d1"), F.col("doc_id").alias("_id"), F.col("k").alias("_k"))
+    side = (F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted).select(F.col("d1"), F.col("doc_id").alias("_id"), F.col("k").alias("_k"))
     found = texts.join(side, (texts.k == F.col("_k")) & texts.doc_id.eqNullSafe(F.col("_id"))).select("d1", "text")
 
     def members(batches):
