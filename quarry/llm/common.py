@@ -19,6 +19,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CHUNK_BYTES = 2 << 20
@@ -104,6 +106,47 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# What a shuffle tells a partition of the input: files in a folder for each partition, which only its task reads when
+# it goes over the same rows again.
+
+
+def task() -> int:
+    from pyspark import TaskContext
+
+    return TaskContext.get().partitionId()
+
+
+def write_told(told: DataFrame, path: str) -> None:
+    """Write rows (pid, kind, blob) by pid."""
+    told.repartition("pid").write.partitionBy("pid").parquet(path)
+
+
+def mine(path: str) -> dict[str, list[bytes]]:
+    """What the files below path say to this task's partition, by kind."""
+    fs, top = pafs.FileSystem.from_uri(path)
+    folder = f"{top}/pid={task()}"
+    out: dict[str, list[bytes]] = {}
+    if fs.get_file_info(folder).type == pafs.FileType.Directory:
+        for f in fs.get_file_info(pafs.FileSelector(folder)):
+            if f.base_name.endswith(".parquet"):
+                with fs.open_input_file(f.path) as source:
+                    t = pq.read_table(source, columns=["kind", "blob"])
+                for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
+                    out.setdefault(kind, []).append(blob)
+    return out
+
+
+def size_blob(rows: int, size: int) -> bytes:
+    return np.array([rows, size], "<i8").tobytes()
+
+
+def same(known: dict, rows: int, size: int) -> None:
+    """Fail unless this scan of the partition had as many rows and bytes as the one that told."""
+    want = [tuple(np.frombuffer(x, "<i8")) for x in known.get("size", [])]
+    if want != [(rows, size)]:
+        raise RuntimeError(f"a repeated scan gave another partition: {(rows, size)} for {want}")
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)

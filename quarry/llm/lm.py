@@ -6,60 +6,123 @@ whose bias starts at the log of its share. A document's score is the sum of its
 
 Vocabulary, shares and classes come from counts of all words of all documents. The VOCABULARY most frequent words
 are entries themselves, the others share BUCKETS hashed entries, so the model has a fixed size (about 1 MB,
-broadcast); a word of a hashed entry has the entry's probability times its own share of the entry's count, which a
-join on the counts brings. So the probabilities of all words of the corpus add up to one in every context.
-
-Training goes over all documents in ROUNDS rounds: each task starts from the round's parameters and takes every
-STRIDE-th word of each of its documents (another remainder each round, so that every word is a target once); the
-tasks' parameters are averaged, weighted by targets, a few at a time. Entries in classes are learned in larger
-batches, on the hidden layer as it is. What is counted and averaged grows with the corpus.
+broadcast); a word of a hashed entry has the entry's probability times its own share of the entry's count. The
+words' counts in the corpus come back to each input partition, for its own words, in files that only its task
+reads. So the probabilities of all words of the corpus add up to one in every context.
+
+Training goes over all documents in ROUNDS rounds, each document in one by its place in its partition, all its words
+as targets: each task starts from the round's parameters; the tasks' parameters are averaged, weighted by targets, a
+few at a time. Embeddings and the entries in classes are learned in larger batches, on the hidden layer as it was.
+What is counted and averaged grows with the corpus.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm import common as C
 
 VOCABULARY, BUCKETS, CLASSES = 4096, 1024, 64
 WINDOW, DIM, HIDDEN = 2, 12, 32
-ROUNDS, STRIDE, BATCH, RATE, SEED = 2, 2, 512, 0.05, 5
-#: Targets a step of the entries in classes.
-ENTRY_BATCH = 16 * BATCH
+ROUNDS, BATCH, RATE, SEED = 2, 1024, 0.05, 5
+#: Targets a step of the embeddings, and of the entries in classes.
+EMBED_BATCH, ENTRY_BATCH = 4 * BATCH, 16 * BATCH
 PAD = VOCABULARY + BUCKETS
-HELD_WORDS, TOGETHER = 1 << 20, 64
+HELD_WORDS, ENTRIES_PER_CELL, TOGETHER = 1 << 20, 400_000, 64
+COUNT = np.dtype([("h", "<u8"), ("n", "<u8")])
+TOLD = "kind string, blob binary, pid long"
 SHAPES = {"e": (PAD + 1, DIM), "w1": (2 * WINDOW * DIM, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, CLASSES), "b2": (CLASSES,), "u": (PAD, HIDDEN), "c": (PAD,)}
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): the count of each word's hash over all texts."""
+def _packed(cell: np.ndarray, rows: np.ndarray) -> tuple[list[int], list[bytes]]:
+    order = np.argsort(cell, kind="stable")
+    cell, rows = cell[order], rows[order]
+    cuts = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
+    return [int(cell[i]) for i in cuts[:-1]], [rows[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _totals(key, table):
+    """Of a cell's counts: for each partition its own words' totals, but for those of a single place; the cell's most frequent words; its sums by bucket."""
+    pids, blobs = table.column("pid").to_numpy(), table.column("blob").to_pylist()
+    if key[0].as_py() < 0:
+        return pa.table({"pid": pids, "kind": ["size"] * len(pids), "blob": pa.array(blobs, pa.binary())})
+    e = np.frombuffer(b"".join(blobs), COUNT)
+    pid = np.repeat(pids, [len(b) // COUNT.itemsize for b in blobs])
+    order = np.argsort(e["h"], kind="stable")
+    e, pid = e[order], pid[order]
+    first = np.flatnonzero(np.r_[True, e["h"][1:] != e["h"][:-1]])
+    n = np.add.reduceat(e["n"], first)
+    all_, top = np.empty(len(first), COUNT), np.argsort(-n.astype(np.int64), kind="stable")[:VOCABULARY]
+    all_["h"], all_["n"] = e["h"][first], n
+    mass = np.bincount((all_["h"] % C.U64(BUCKETS)).astype(np.int64), n, BUCKETS)
+    every = np.repeat(all_, np.diff(np.append(first, len(e))))
+    some = every["n"] > 1
+    where, told = _packed(pid[some], every[some])
+    C.trim()
+    return pa.table({"pid": pa.array([*where, -1, -1], pa.int64()), "kind": ["word"] * len(where) + ["top", "mass"], "blob": pa.array([*told, all_[top].tobytes(), mass.tobytes()], pa.binary())})
+
+
+def count_words(rows: DataFrame) -> str:
+    """Count the words of all texts (the column text of rows); the folder that says to each partition its words' counts in the corpus.
+
+    Partial counts go to cells by word, packed; words of a single place, the most of any corpus, are not told.
+    """
+    spark = rows.sparkSession
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = max(64, math.ceil(size / 6.4 * 0.15 / ENTRIES_PER_CELL))
+    path = C.uri(C.fresh_dir(spark, "words"))
 
     def count(batches):
-        held: list[np.ndarray] = []
-        size = 0
+        pid, n_rows, size, held, n_held = C.task(), 0, 0, [], 0
 
         def merged():
             h, n = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-            u, inverse = np.unique(h, return_inverse=True)
-            return u, np.bincount(inverse, weights=n).astype(np.int64)
+            order = np.argsort(h)
+            first = np.flatnonzero(np.diff(h[order], prepend=~h[order[:1]]))
+            return h[order[first]], np.add.reduceat(n[order], first)
+
+        def out(h, n):
+            e = np.empty(len(h), COUNT)
+            e["h"], e["n"] = h, n
+            where, blobs = _packed((C.mix(h + C.U64(77)) % C.U64(cells)).astype(np.int64), e)
+            return pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([pid] * len(where), pa.int64()), pa.array(blobs, pa.binary())], ["cell", "pid", "blob"])
 
         for b in batches:
-            for c in C.chunks(b.column(0)):
+            n_rows += len(b)
+            for c in C.chunks(b.column(b.schema.get_field_index("text"))):
+                size += len(c.data)
                 held.append(np.unique(c.hashes(), return_counts=True))
-                size += len(held[-1][0])
-                if size > HELD_WORDS:
+                n_held += len(held[-1][0])
+                if n_held > HELD_WORDS:
                     held = [merged()]
-                    size = len(held[0][0])
-                    if size > HELD_WORDS // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["word", "n"])
-                        held, size = [], 0
-        if held:
-            u, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["word", "n"])
+                    n_held = len(held[0][0])
+                    if n_held > HELD_WORDS // 2:
+                        yield out(*held[0])
+                        held, n_held = [], 0
+        if n_held:
+            yield out(*merged())
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - pid], pa.int64()), pa.array([pid], pa.int64()), pa.array([C.size_blob(n_rows, size)], pa.binary())], ["cell", "pid", "blob"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(count, "cell long, pid long, blob binary").groupBy("cell")
+    C.write_told(counted.applyInArrow(_totals, "pid long, kind string, blob binary"), path)
+    return path
+
+
+def frequent_words(spark, path: str) -> DataFrame:
+    """(word, n): the VOCABULARY most frequent words of each cell; in a small corpus, all."""
+
+    def unpack(batches):
+        for b in batches:
+            for blob in b.column(0).to_pylist():
+                e = np.frombuffer(blob, COUNT)
+                yield pa.RecordBatch.from_arrays([pa.array(e["h"].view(np.int64)), pa.array(e["n"].astype(np.int64))], ["word", "n"])
+
+    return spark.read.schema(TOLD).parquet(path).where("pid = -1 and kind = 'top'").select("blob").mapInArrow(unpack, "word long, n long")
 
 
 class Vocabulary:
@@ -102,15 +165,23 @@ class Vocabulary:
         return out
 
 
-def learn_vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
-    counts = counts or C.materialise(word_counts(docs, text))
-    top = [(r.word, r.n) for r in counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()]
+def learn_vocabulary(spark, path: str) -> Vocabulary:
+    """The vocabulary of the counts below path."""
+    top = [(r.word, r.n) for r in frequent_words(spark, path).orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()]
+
+    def add(batches):
+        total = np.zeros(BUCKETS)
+        for b in batches:
+            for blob in b.column(0).to_pylist():
+                total += np.frombuffer(blob, float)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total)], ["b", "n"])
+
+    sums = spark.read.schema(TOLD).parquet(path).where("pid = -1 and kind = 'mass'").select("blob").mapInArrow(add, "b long, n double")
     buckets = np.zeros(BUCKETS)
-    # an unsigned hash modulo a power of two is its low bits
-    for r in counts.groupBy(F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).agg(F.sum("n").alias("n")).collect():
+    for r in sums.groupBy("b").agg(F.sum("n").alias("n")).collect():
         buckets[r.b] = r.n
     for w, n in top:
-        buckets[w & (BUCKETS - 1)] -= n
+        buckets[w & (BUCKETS - 1)] -= n  # an unsigned hash modulo a power of two is its low bits
     return Vocabulary(top, buckets)
 
 
@@ -123,74 +194,92 @@ def contexts(ids: np.ndarray, word_at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + o] for o in range(-WINDOW, WINDOW + 1) if o], 1)
 
 
+def _odds(h: np.ndarray, w: np.ndarray, b: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the softmax of h w + b: exp of the logits, each row's own logit, and the row's sum of exps.
+
+    Hidden states lie in -1 to 1, so weights bound the logits; only where exp could overflow are rows shifted.
+    """
+    z = h @ w
+    z += b
+    if (np.abs(w).sum(0) + np.abs(b)).max(initial=0) > 60:
+        z -= z.max(1, keepdims=True)
+    mine = z[np.arange(len(z)), own]
+    np.exp(z, out=z)
+    return z, mine, z @ np.ones(z.shape[1], z.dtype)
+
+
 class Network:
     def __init__(self, params: dict[str, np.ndarray] | None = None):
         r = np.random.default_rng(SEED)
         self.p = params or {k: (r.standard_normal(s) / np.sqrt(s[0] if k != "e" else DIM) if len(s) > 1 and k != "u" else np.zeros(s)).astype(np.float32) for k, s in SHAPES.items()}
 
     def hidden(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.p["e"][ctx].reshape(len(ctx), -1)
+        x = self.p["e"].take(ctx.ravel(), 0).reshape(len(ctx), -1)
         return x, np.tanh(x @ self.p["w1"] + self.p["b1"])
 
     def log_classes(self, ctx: np.ndarray, klass: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
         """The log-probability of each row's class."""
-        z = (self.hidden(ctx)[1] if h is None else h) @ self.p["w2"] + self.p["b2"]
-        z -= z.max(1, keepdims=True)
-        return z[np.arange(len(z)), klass] - np.log(np.exp(z).sum(1))
+        z, own, total = _odds(self.hidden(ctx)[1] if h is None else h, self.p["w2"], self.p["b2"], klass)
+        return own - np.log(total)
 
     def log_entries(self, h: np.ndarray, ids: np.ndarray, v: Vocabulary) -> np.ndarray:
         """The log-probability of each row's entry in its class, for hidden states h."""
         out = np.zeros(len(ids))
         for rows, some, at in v.by_class(ids):
-            z = h[rows] @ self.p["u"][some].T + (self.p["c"][some] + v.share[some]).astype(np.float32)
-            z -= z.max(1, keepdims=True)
-            out[rows] = z[np.arange(len(z)), at] - np.log(np.exp(z).sum(1))
+            _, own, total = _odds(h[rows], self.p["u"][some].T, self.p["c"][some] + v.share[some].astype(h.dtype), at)
+            out[rows] = own - np.log(total)
         return out
 
     def _gradients(self, ctx: np.ndarray, klass: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-        """The gradients but for the embeddings, the entries that ctx has, and their embeddings' gradients."""
+        """The gradients but for the embeddings', those of the words read, and the hidden layer."""
         x, h = self.hidden(ctx)
-        z = h @ self.p["w2"] + self.p["b2"]
-        z = np.exp(z - z.max(1, keepdims=True))
-        z /= z.sum(1, keepdims=True)
+        z, _, total = _odds(h, self.p["w2"], self.p["b2"], klass)
+        z /= total[:, None]
         z[np.arange(len(z)), klass] -= 1
         z /= len(z)
         dh = (z @ self.p["w2"].T) * (1 - h * h)
+        return {"w1": x.T @ dh, "b1": dh.sum(0), "w2": h.T @ z, "b2": z.sum(0)}, dh @ self.p["w1"].T, h
+
+    @staticmethod
+    def _embedding_gradients(ctx: np.ndarray, dx: np.ndarray) -> np.ndarray:
         flat = ctx.ravel()
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        de = np.add.reduceat((dh @ self.p["w1"].T).reshape(-1, DIM)[order], first)
-        return {"w1": x.T @ dh, "b1": dh.sum(0), "w2": h.T @ z, "b2": z.sum(0)}, flat[order[first]], de
+        return np.stack([np.bincount(flat, d, PAD + 1) for d in dx.reshape(-1, DIM).T.astype(float)], 1).astype(dx.dtype)
 
     def gradients(self, ctx: np.ndarray, klass: np.ndarray) -> dict[str, np.ndarray]:
-        g, rows, de = self._gradients(ctx, klass)
-        g["e"] = np.zeros_like(self.p["e"])
-        g["e"][rows] = de
-        return g
+        g, dx, _ = self._gradients(ctx, klass)
+        return g | {"e": self._embedding_gradients(ctx, dx)}
 
     def entry_gradients(self, h: np.ndarray, ids: np.ndarray, v: Vocabulary):
         """(entries, gradient of u, gradient of c) of each class, for the mean over ids."""
         for rows, some, at in v.by_class(ids):
-            z = h[rows] @ self.p["u"][some].T + (self.p["c"][some] + v.share[some]).astype(np.float32)
-            z = np.exp(z - z.max(1, keepdims=True))
-            z /= z.sum(1, keepdims=True)
+            near = h[rows]
+            z, _, total = _odds(near, self.p["u"][some].T, self.p["c"][some] + v.share[some].astype(h.dtype), at)
+            z /= total[:, None]
             z[np.arange(len(z)), at] -= 1
             z /= len(ids)
-            yield some, z.T @ h[rows], z.sum(0)
+            yield some, z.T @ near, z.sum(0)
 
     def _move(self, k: str, at, g: np.ndarray, seen: dict[str, np.ndarray]) -> None:
         total = seen[k][at] + g * g
         seen[k][at] = total
         self.p[k][at] -= np.float32(RATE) * g / (np.sqrt(total) + np.float32(1e-6))
 
-    def step(self, ctx: np.ndarray, klass: np.ndarray, seen: dict[str, np.ndarray]) -> None:
-        g, rows, de = self._gradients(ctx, klass)
-        self._move("e", rows, de, seen)  # the others' gradients are zero and would move nothing
-        for k, x in g.items():
-            self._move(k, ..., x, seen)
-
-    def step_entries(self, ctx: np.ndarray, ids: np.ndarray, v: Vocabulary, seen: dict[str, np.ndarray]) -> None:
-        for some, du, dc in self.entry_gradients(self.hidden(ctx)[1], ids, v):
+    def step(self, ctx: np.ndarray, klass: np.ndarray, seen: dict[str, np.ndarray]) -> np.ndarray:
+        """Learn from EMBED_BATCH targets, BATCH at a time, the embeddings together; the hidden layers that they had."""
+        parts = [(ctx[i : i + BATCH], klass[i : i + BATCH]) for i in range(0, len(ctx), BATCH)]
+        inputs, hidden = [], []
+        for near, own in parts:
+            g, dx, h = self._gradients(near, own)
+            for k, x in g.items():
+                self._move(k, ..., x, seen)
+            inputs.append(dx)
+            hidden.append(h)
+        some = np.flatnonzero(np.bincount(ctx.ravel(), minlength=PAD + 1))
+        self._move("e", some, self._embedding_gradients(ctx, np.concatenate(inputs))[some], seen)  # the others' gradients are zero
+        return np.concatenate(hidden)
+
+    def step_entries(self, h: np.ndarray, ids: np.ndarray, v: Vocabulary, seen: dict[str, np.ndarray]) -> None:
+        for some, du, dc in self.entry_gradients(h, ids, v):
             self._move("u", some, du, seen)
             self._move("c", some, dc, seen)
 
@@ -204,7 +293,9 @@ class Network:
 
 
 def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "text") -> Network:
-    """Average of the networks that the tasks reach from start, weighted by their targets."""
+    """Average of the networks that the tasks reach from start, weighted by their targets: the words of the texts of this round."""
+    nth = F.monotonically_increasing_id() % ROUNDS  # the rows of a partition take turns, so that copies are in all rounds
+    own = docs.select(F.col(text).alias("text"), nth.alias("turn")).where(F.col("turn") == turn).select("text")
     first = docs.sparkSession.sparkContext.broadcast(start.p)
 
     def fit(batches):
@@ -219,22 +310,19 @@ def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "
             klass = v.klass[ids]
             for i in range(0, stop, ENTRY_BATCH):
                 end = min(i + ENTRY_BATCH, stop)
-                for j in range(i, end, BATCH):
-                    net.step(ctx[j : min(j + BATCH, end)], klass[j : min(j + BATCH, end)], seen)
-                net.step_entries(ctx[i:end], ids[i:end], v, seen)
+                h = [net.step(ctx[j : min(j + EMBED_BATCH, end)], klass[j : min(j + EMBED_BATCH, end)], seen) for j in range(i, end, EMBED_BATCH)]
+                net.step_entries(np.concatenate(h), ids[i:end], v, seen)
             targets += stop
             held = [(ctx[stop:], ids[stop:])]
 
         for b in batches:
             for c in C.chunks(b.column(0)):
                 ids = v.entries(c.hashes())
-                within = np.arange(len(ids)) - np.repeat(c.word_at[:-1], c.n_words)
-                pick = np.flatnonzero(within % STRIDE == turn % STRIDE)
-                held.append((contexts(ids, c.word_at)[pick], ids[pick]))
+                held.append((contexts(ids, c.word_at), ids))
                 drain(False)
         if held:
             drain(True)
-        yield pa.RecordBatch.from_arrays([pa.array([_task()], pa.int64()), pa.array([targets], pa.int64()), pa.array([net.pack()], pa.binary())], ["task", "n", "params"])
+        yield pa.RecordBatch.from_arrays([pa.array([C.task()], pa.int64()), pa.array([targets], pa.int64()), pa.array([net.pack()], pa.binary())], ["task", "n", "params"])
 
     def average(table):
         n = table.column("n").to_numpy().astype(float)
@@ -242,7 +330,7 @@ def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "
         return pa.table({"task": [table.column("task")[0].as_py() // TOGETHER], "n": [int(n.sum())], "params": pa.array([flat.astype("<f4").tobytes()], pa.binary())})
 
     kind = "task long, n long, params binary"
-    rows = C.materialise(docs.select(F.col(text).alias("text")).mapInArrow(fit, kind).where("n > 0"))
+    rows = C.materialise(own.mapInArrow(fit, kind).where("n > 0"))
     last = rows.agg(F.max("task")).first()[0]
     if last is None:
         return start
@@ -254,85 +342,70 @@ def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "
     return Network.unpack(sum(np.frombuffer(r.params, "<f4") * (r.n / total) for r in found))
 
 
-def _task() -> int:
-    from pyspark import TaskContext
-
-    return TaskContext.get().partitionId()
+def shares(h: np.ndarray, ids: np.ndarray, v: Vocabulary, counts: np.ndarray) -> np.ndarray:
+    """The log of each word's own share of its hashed entry; 0 for words that are entries. counts: rows COUNT by hash; others occur once."""
+    out = np.zeros(len(h))
+    rare = np.flatnonzero(ids >= VOCABULARY)
+    n = np.ones(len(rare))
+    if len(counts):
+        at = np.minimum(np.searchsorted(counts["h"], h[rare]), len(counts) - 1)
+        n = np.where(counts["h"][at] == h[rare], counts["n"][at], n)
+    mass = np.maximum(v.mass, 1)[ids[rare] - VOCABULARY]
+    out[rare] = np.log(np.minimum(n, mass) / mass)
+    return out
 
 
-def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 16_384) -> tuple[np.ndarray, np.ndarray]:
-    """(words, summed log-probability of their entries) of each text."""
-    counts, sums = [], []
+def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 8192, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(words, summed log-probability) of each text; without counts, of the words' entries."""
+    n_words, sums = [], []
     for c in C.chunks(texts):
-        ids = v.entries(c.hashes())
-        ctx, logs = contexts(ids, c.word_at), []
+        words = c.hashes()
+        ids = v.entries(words)
+        ctx, logs = contexts(ids, c.word_at), np.zeros(len(ids)) if counts is None else shares(words, ids, v, counts)
         for i in range(0, len(ids), batch):
             near, own = ctx[i : i + batch], ids[i : i + batch]
             h = net.hidden(near)[1]
-            logs.append(net.log_classes(near, v.klass[own], h) + net.log_entries(h, own, v))
-        total = np.concatenate(([0.0], np.cumsum(np.concatenate(logs).astype(float)))) if logs else np.zeros(1)
-        counts.append(c.n_words)
+            logs[i : i + batch] += net.log_classes(near, v.klass[own], h) + net.log_entries(h, own, v)
+        total = np.concatenate(([0.0], np.cumsum(logs)))
+        n_words.append(c.n_words)
         sums.append(total[c.word_at[1:]] - total[c.word_at[:-1]])
-    return (np.concatenate(counts), np.concatenate(sums)) if counts else (np.zeros(0, np.int64), np.zeros(0))
+    return (np.concatenate(n_words), np.concatenate(sums)) if sums else (np.zeros(0, np.int64), np.zeros(0))
 
 
-def rare_shares(texts: DataFrame, v: Vocabulary, counts: DataFrame) -> DataFrame:
-    """(_k, rare): for each text with words of hashed entries, the sum of the logs of their shares of their entries' counts.
-
-    texts has k, a hash of the text, and text. A word that counts does not have is taken as seen once.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(v)
-
-    def rare(batches):
-        for b in batches:
-            for c in C.chunks(b.column(1)):
-                h = c.hashes()
-                pick = np.flatnonzero(shared.value.entries(h) >= VOCABULARY)
-                k = b.column(0).to_numpy()[c.first : c.last][c.doc_of_word()[pick]]
-                order = np.lexsort((h[pick], k))
-                k, h = k[order], h[pick][order]
-                at = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), (k[1:] != k[:-1]) | (h[1:] != h[:-1]))))
-                yield pa.RecordBatch.from_arrays([pa.array(k[at]), pa.array(h[at].view(np.int64)), pa.array(np.diff(at, append=len(k)))], ["k", "word", "times"])
-
-    each = texts.mapInArrow(rare, "k long, word long, times long")
-    mass = F.array(*[F.lit(float(m)) for m in v.mass])
-    own = F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)) / F.greatest(F.get(mass, F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(1.0))
-    logs = each.join(counts, "word", "left").select("k", (F.col("times") * F.log(own)).alias("s"), F.lit(0).alias("one"))
-    # equal texts come as often as they are there: their number divides out
-    every = logs.union(texts.select("k", F.lit(0.0), F.lit(1)))
-    return every.groupBy(F.col("k").alias("_k")).agg((F.sum("s") / F.sum("one")).alias("rare"))
-
-
-def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
-    v, net = learn_vocabulary(docs, text, counts), Network()
+def train(docs: DataFrame, text: str = "text", path: str | None = None) -> tuple[Vocabulary, Network]:
+    v, net = learn_vocabulary(docs.sparkSession, path or count_words(docs.select(F.col(text).alias("text")))), Network()
     words = docs.sparkSession.sparkContext.broadcast(v)
     for turn in range(ROUNDS):
-        net = train_round(docs, words, net, turn * (STRIDE // ROUNDS), text)
+        net = train_round(docs, words, net, turn, text)
     return v, net
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", model: tuple[Vocabulary, Network] | None = None) -> DataFrame:
     """(doc_id, n_words, pseudo_log_likelihood, per_word) for each row of docs; per_word is null without words.
 
-    Null and empty texts have no words and a score of 0; repeated rows are scored alike; an empty table is
-    scored by the untrained network, that is not at all. With a model given, rare words' shares are those in docs.
+    Null and empty texts have no words and a score of 0; repeated rows are scored alike; an empty table gives no
+    rows; other columns are not read. With a model given, rare words' counts are those in docs. The result is
+    written to the shared folder, since its tasks must match the scan that counts the words.
     """
-    counts = C.materialise(word_counts(docs, text))
-    v, net = model or train(docs, text, counts)
-    shared = docs.sparkSession.sparkContext.broadcast((v, net.p))
-    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k"), F.col(text).alias("text"))
+    spark = docs.sparkSession
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    path = count_words(rows)
+    v, net = model or train(rows, "text", path)
+    shared = spark.sparkContext.broadcast((v, net.p))
 
     def work(batches):
-        v, p = shared.value
+        (v, p), known = shared.value, C.mine(path)
+        counts = np.frombuffer(b"".join(known.get("word", [])), COUNT)
+        counts = counts[np.argsort(counts["h"])]
+        n_rows = size = 0
         for b in batches:
-            n, s = score_texts(b.column(2), v, Network(p))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(s)], ["doc_id", "k", "n_words", "s"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(work, f"doc_id {kind}, k long, n_words long, s double")
-    rare = rare_shares(rows.select("k", "text"), v, counts)
-    total = (F.col("s") + F.coalesce("rare", F.lit(0.0))).alias("pseudo_log_likelihood")
-    out = scored.join(rare, F.col("k") == F.col("_k"), "left").select("doc_id", "n_words", total)
+            n_rows, size = n_rows + len(b), size + (pc.sum(pc.binary_length(b.column(1))).as_py() or 0)
+            n, s = score_texts(b.column(1), v, Network(p), counts=counts)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(s)], ["doc_id", "n_words", "pseudo_log_likelihood"])
+        C.same(known, n_rows, size)
+
+    out = C.materialise(rows.mapInArrow(work, C.schema_of(rows, ["doc_id"], "n_words long, pseudo_log_likelihood double")))
+    C.remove(spark, path)
     return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("pseudo_log_likelihood") / F.col("n_words")))
 
 

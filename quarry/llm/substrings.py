@@ -26,8 +26,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm import common as C
@@ -175,31 +173,6 @@ def _told(table, keep_hot: bool):
     return pa.table({"pid": pa.array([int(pid[i]) for i in at[:-1]], pa.int64()), "kind": pa.array(["key"] * (len(at) - 1), pa.string()), "blob": pa.array([packed[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())})
 
 
-def _filesystem(path: str):
-    return pafs.FileSystem.from_uri(path)
-
-
-def _mine(path: str) -> dict[str, list[bytes]]:
-    """What the files below path say to this task's partition, by kind."""
-    fs, top = _filesystem(path)
-    folder = f"{top}/pid={_task()}"
-    out: dict[str, list[bytes]] = {}
-    if fs.get_file_info(folder).type == pafs.FileType.Directory:
-        for f in fs.get_file_info(pafs.FileSelector(folder)):
-            if f.base_name.endswith(".parquet"):
-                with fs.open_input_file(f.path) as source:
-                    t = pq.read_table(source, columns=["kind", "blob"])
-                for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
-                    out.setdefault(kind, []).append(blob)
-    return out
-
-
-def _task() -> int:
-    from pyspark import TaskContext
-
-    return TaskContext.get().partitionId()
-
-
 def _keys(blobs: list[bytes]) -> np.ndarray:
     e = np.frombuffer(b"".join(blobs), _ENTRY)
     return e[np.argsort(e["g"])]
@@ -270,10 +243,6 @@ def _judge_shard(table):
     return pa.table({"pid": pa.array(list(told), pa.int64()), "kind": pa.array(["context"] * len(told), pa.string()), "blob": pa.array(blobs, pa.binary())})
 
 
-def _write(told: DataFrame, path: str) -> None:
-    told.repartition("pid").write.partitionBy("pid").parquet(path)
-
-
 def repeated_spans(texts: DataFrame):
     """Two folders of files for the partitions of texts (first column: text): their repeated minimizers, and verdicts on contexts."""
     spark = texts.sparkSession
@@ -284,7 +253,7 @@ def repeated_spans(texts: DataFrame):
     kind = "pid long, kind string, blob binary"
 
     def count(batches):
-        pid, rows, size = _task(), 0, 0
+        pid, rows, size = C.task(), 0, 0
         for b in batches:
             rows += len(b)
             for c in C.chunks(b.column(0), limit=2 * C.CHUNK_BYTES):
@@ -293,7 +262,7 @@ def repeated_spans(texts: DataFrame):
                 e = _distinct(g, 1 + _inner_repeats(c, start, stop))
                 where, blobs = _cells(e["g"], cells, e)
                 yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([pid] * len(where), pa.int64()), pa.array(blobs, pa.binary())], ["cell", "pid", "blob"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1 - pid], pa.int64()), pa.array([pid], pa.int64()), pa.array([np.array([rows, size], "<i8").tobytes()], pa.binary())], ["cell", "pid", "blob"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - pid], pa.int64()), pa.array([pid], pa.int64()), pa.array([C.size_blob(rows, size)], pa.binary())], ["cell", "pid", "blob"])
 
     def shared(key, table):
         if key[0].as_py() < 0:
@@ -301,10 +270,10 @@ def repeated_spans(texts: DataFrame):
         return _told(table, True)
 
     counted = texts.mapInArrow(count, "cell long, pid long, blob binary").groupBy("cell")
-    _write(counted.applyInArrow(shared, kind), first)
+    C.write_told(counted.applyInArrow(shared, kind), first)
 
     def contexts(batches):
-        pid, known = _task(), _mine(first)
+        pid, known = C.task(), C.mine(first)
         keys, rows, size = _keys(known.get("key", [])), 0, 0
         for b in batches:
             rows += len(b)
@@ -332,7 +301,7 @@ def repeated_spans(texts: DataFrame):
                     parts.append((shard, g[cold].view(np.int64).tolist(), key.view(np.int64).tolist(), n.tolist(), words))
                 for where, anchors, key, n, blobs in parts:
                     yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([pid] * len(where), pa.int64()), pa.array(anchors, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(blobs, pa.binary())], ["cell", "pid", "g", "key", "n", "blob"])
-        _same(known, rows, size)
+        C.same(known, rows, size)
 
     def judge(key, table):
         if key[0].as_py() >= 0:
@@ -341,16 +310,10 @@ def repeated_spans(texts: DataFrame):
         return _judge_shard(table.rename_columns(["cell", "pid", "g", "key", "n", "words"]))
 
     found = texts.mapInArrow(contexts, "cell long, pid long, g long, key long, n long, blob binary").groupBy("cell")
-    _write(found.applyInArrow(judge, kind), second)
+    C.write_told(found.applyInArrow(judge, kind), second)
     return first, second
 
 
-def _same(known: dict, rows: int, size: int) -> None:
-    want = [tuple(np.frombuffer(x, "<i8")) for x in known.get("size", [])]
-    if want != [(rows, size)]:
-        raise RuntimeError(f"a repeated scan gave another partition: {(rows, size)} for {want}")
-
-
 def flagged_windows(c: C.Chunk, keys: np.ndarray, verdicts: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """Starts of the chunk's windows that occur elsewhere."""
     h, g, start, stop = _runs(c)
@@ -385,7 +348,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     first, second = repeated_spans(source)  # the same columns in all scans, else Spark may deal rows otherwise
 
     def work(batches):
-        known, told = _mine(first), _mine(second)
+        known, told = C.mine(first), C.mine(second)
         keys, verdicts, windows = _keys(known.get("key", [])), _keys(told.get("context", [])), _keys(told.get("window", []))
         rows = size = 0
         for b in batches:
@@ -415,7 +378,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
                 else:
                     kind = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
                     yield pa.RecordBatch.from_arrays([*head, pa.array(spans, kind), pa.array([t.decode() for t in texts], pa.string())], ["row", "n_words", "n_removed", "spans", "clean"])
-        _same(known, rows, size)
+        C.same(known, rows, size)
 
     tail = "kept_sha256 string" if digest else "spans array<struct<first:bigint,words:bigint>>, clean string"
     out = C.materialise(source.mapInArrow(work, C.schema_of(source, ["row"], f"n_words long, n_removed long, {tail}")))

@@ -21,10 +21,12 @@ def grammar(rng, n):
 
 def test_counts_and_vocabulary(spark):
     rows = [(1, "a b a c a"), (2, None), (3, ""), (4, "b  b\na")] * 3
-    got = {r.word: r.n for r in lm.word_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    path = lm.count_words(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    got = {r.word: r.n for r in lm.frequent_words(spark, path).collect()}
     want = Counter(w for _, t in rows for w in (t or "").split(" ") for w in w.split("\n") if w)
     assert sorted(got.values()) == sorted(want.values())
-    v = lm.learn_vocabulary(spark.createDataFrame(rows, "doc_id long, text string"))
+    v = lm.learn_vocabulary(spark, path)
+    assert sum(v.mass) == 0
     assert np.allclose(np.bincount(v.klass, np.exp(v.share), lm.CLASSES)[np.unique(v.klass)], 1)
 
 
@@ -46,7 +48,7 @@ def test_gradients():
 def test_scores_match_brute_force(spark):
     rng = random.Random(1)
     texts = [" ".join(grammar(rng, rng.randint(0, 30))) for _ in range(30)] + [None, "", "x"]
-    v, net = lm.learn_vocabulary(spark.createDataFrame([(t,) for t in texts], "text string")), lm.Network()
+    v, net = lm.learn_vocabulary(spark, lm.count_words(spark.createDataFrame([(t,) for t in texts], "text string"))), lm.Network()
     n, s = lm.score_texts(pa.array(texts), v, net, batch=7)
     h = lambda w: int(v.entries(next(C.chunks(pa.array([w]))).hashes())[0])
     for t, k, total in zip(texts, n, s, strict=True):
@@ -111,7 +113,7 @@ def test_entries_of_a_class_depend_on_the_context():
         assert abs((up - down) / 2e-2 - g) < 1e-4
     seen = {k: np.full(s, 1e-4) for k, s in lm.SHAPES.items()}
     for _ in range(200):
-        net.step_entries(ctx, ids, v, seen)
+        net.step_entries(net.hidden(ctx)[1], ids, v, seen)
     swapped = np.where(ids == some[0], some[1], some[0])
     assert (net.log_entries(h, ids, v) - net.log_entries(h, swapped, v)).mean() > 0.5
 
