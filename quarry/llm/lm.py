@@ -31,7 +31,7 @@ VOCABULARY, BUCKETS, CLASSES = 4096, 1024, 64
 WINDOW, DIM, HIDDEN = 2, 12, 32
 ROUNDS, BATCH, RATE, SEED = 2, 1024, 0.05, 5
 #: Targets a step of the embeddings, and of the entries in classes.
-EMBED_BATCH, ENTRY_BATCH = 4 * BATCH, 16 * BATCH
+EMBED_BATCH, ENTRY_BATCH = 4 * BATCH, 32 * BATCH
 PAD = VOCABULARY + BUCKETS
 HELD_WORDS, ENTRIES_PER_CELL, TOGETHER = 1 << 20, 400_000, 64
 COUNT = np.dtype([("h", "<u8"), ("n", "<u8")])
@@ -138,8 +138,8 @@ class Vocabulary:
         n += 0.5
         by = np.argsort(-n, kind="stable")
         middle = (np.cumsum(n[by]) - n[by] / 2) / n.sum()
-        self.klass = np.zeros(PAD, np.int64)
-        self.klass[by] = np.minimum((middle * CLASSES).astype(np.int64), CLASSES - 1)
+        self.klass = np.zeros(PAD, np.int16)  # small integers sort fast
+        self.klass[by] = np.minimum((middle * CLASSES).astype(np.int16), CLASSES - 1)
         self.share = np.log(n / np.bincount(self.klass, n, CLASSES)[self.klass])
         self.mass = buckets
         # the entries of each class, and each entry's place among them
@@ -355,17 +355,19 @@ def shares(h: np.ndarray, ids: np.ndarray, v: Vocabulary, counts: np.ndarray) ->
     return out
 
 
-def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 8192, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 4096, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(words, summed log-probability) of each text; without counts, of the words' entries."""
     n_words, sums = [], []
     for c in C.chunks(texts):
         words = c.hashes()
         ids = v.entries(words)
         ctx, logs = contexts(ids, c.word_at), np.zeros(len(ids)) if counts is None else shares(words, ids, v, counts)
-        for i in range(0, len(ids), batch):
-            near, own = ctx[i : i + batch], ids[i : i + batch]
-            h = net.hidden(near)[1]
-            logs[i : i + batch] += net.log_classes(near, v.klass[own], h) + net.log_entries(h, own, v)
+        for i in range(0, len(ids), 16 * batch):
+            hidden = []
+            for j in range(i, min(i + 16 * batch, len(ids)), batch):
+                hidden.append(net.hidden(ctx[j : j + batch])[1])
+                logs[j : j + batch] += net.log_classes(ctx[j : j + batch], v.klass[ids[j : j + batch]], hidden[-1])
+            logs[i : i + 16 * batch] += net.log_entries(np.concatenate(hidden), ids[i : i + 16 * batch], v)
         total = np.concatenate(([0.0], np.cumsum(logs)))
         n_words.append(c.n_words)
         sums.append(total[c.word_at[1:]] - total[c.word_at[:-1]])
