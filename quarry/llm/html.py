@@ -31,12 +31,12 @@ _BLOCK = set(
 _VOID = {"hr", "br", "input", "img", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track"}
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ENDS_P = _BLOCK - {"button", "label", "option", "input", "select", "textarea", "video", "audio", "iframe"}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|title|iframe)(?![^\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<svg(?![^\s/>])(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</svg\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
+#: Elements whose contents are no text of the page. The text of noscript and math is.
+_RAW = {"script", "style", "template", "title", "iframe", "svg"}
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRS = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
+#: After so many quotes that nothing closes, a page's tags end at the next ">", so that the scan stays linear.
+OPEN_QUOTES = 32
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 
@@ -52,12 +52,62 @@ def _own_names(tag: str, attrs: str) -> tuple[str, ...]:
     return (f"t:{tag}", *(f"c:{p.rstrip('s') or p}" for p in parts if not p.isdigit()))
 
 
+@lru_cache(maxsize=16)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*>", re.I)
+
+
+def tokens(page: str):
+    """(kind, name, text): "text", or "open" and "close" with the tag's lower-case name and its attributes, in one pass.
+
+    Comments, declarations and the contents of raw elements are left out; a self-closed svg has none. What is never
+    closed ends with the page; "<" that begins no tag is text.
+    """
+    at, n, quotes = 0, len(page), 0
+    last = page.rfind(">")  # no tag ends behind it
+    while at < n:
+        cut = page.find("<", at)
+        if cut < 0:
+            yield "text", "", page[at:]
+            return
+        if cut > at:
+            yield "text", "", page[at:cut]
+        if page.startswith("<!--", cut):
+            end = page.find("-->", cut + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if page.startswith("<![CDATA[", cut):
+            end = page.find("]]>", cut)
+            yield "text", "", page[cut + 9 : n if end < 0 else end]
+            at = n if end < 0 else end + 3
+            continue
+        shut = page.startswith("/", cut + 1)
+        name = _NAME.match(page, cut + 1 + shut) if last > cut else None
+        if not name:
+            end = page.find(">", cut) if last > cut and page[cut + 1 : cut + 2] in ("!", "?", "/") else -1
+            if end < 0:
+                yield "text", "", "<"
+            at = cut + 1 if end < 0 else end + 1
+            continue
+        begin = name.end()
+        found = _ATTRS.match(page, begin) if quotes < OPEN_QUOTES else None
+        quotes += found is None
+        end = found.end() if found else page.find(">", begin) + 1
+        tag, attrs = name[0].lower(), page[begin : end - 1]
+        at = end
+        if not shut and tag in _RAW and not (tag == "svg" and attrs.endswith("/")):
+            over = _end_of(tag).search(page, end)
+            at = over.end() if over else n
+        if shut or tag != "svg" and tag not in _RAW or tag == "iframe":
+            yield "close" if shut else "open", tag, attrs
+
+
 def blocks(page: str) -> list[tuple[str, frozenset, float]]:
     """(text, slots of the path's names, share of its characters in links) of each block that has text.
 
     Character references are decoded, white space is one space. Whatever the markup, nothing is lost but tags,
     comments, and the contents of script, style, title, svg and the like (a self-closed svg has none; formulas of math
-    elements are text). Tags that are not closed end with their parent.
+    elements and what noscript shows are text). Tags that are not closed end with their parent.
     """
     out, stack, run, in_link, depth_a = [], [("", ())], [], 0, 0
 
@@ -71,25 +121,21 @@ def blocks(page: str) -> list[tuple[str, frozenset, float]]:
             run.clear()
         in_link = 0
 
-    for m in _TOKEN.finditer(page):
-        text = m["text"] or m["cdata"]
-        if text:
+    for kind, tag, text in tokens(page):
+        if kind == "text":
             run.append(text)
             if depth_a:
                 in_link += len(text.strip())
             continue
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            continue
         if tag == "a":
-            depth_a = 0 if m["end"] else 1
+            depth_a = 1 if kind == "open" else 0
         if tag == "br":
             run.append(" ")
         if tag not in _BLOCK:
             continue
         flush()
         depth_a = 0
-        if m["end"]:
+        if kind == "close":
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
@@ -98,8 +144,8 @@ def blocks(page: str) -> list[tuple[str, frozenset, float]]:
             shut = _CLOSES.get(tag, {"p"} if tag in _ENDS_P else set())
             while len(stack) > 1 and stack[-1][0] in shut:
                 stack.pop()
-            if tag not in _VOID:
-                stack.append((tag, _own_names(tag, m["attrs"])))
+            if tag not in _VOID and tag != "iframe":
+                stack.append((tag, _own_names(tag, text)))
     flush()
     return out
 
@@ -119,7 +165,7 @@ _ROLES = {
 #: Words that tell a role when they are there.
 _TOLD = {
     "nav": "home about contact menu news", "header": "welcome home", "footer": "copyright rights reserved terms privacy", "side": "related popular trending tags share more", "ad": "sponsored advertisement buy offer sale",
-    "notice": "cookies cookie consent accept policy notice", "form": "subscribe newsletter email login search send", "comments": "comment comments reply said posted replies",
+    "notice": "cookies cookie consent accept policy notice enable javascript browser", "form": "subscribe newsletter email login search send", "comments": "comment comments reply said posted replies",
 }
 _MAIN = ["content", "main", "post", "article", "entry", "entry-content", "body", "story", "article-body", "post-content", "text", "page-content"]
 _PLAIN = ["wrap", "container", "row", "col", "inner", "page", "layout", "grid", "box", "x1", "section"]
@@ -180,7 +226,8 @@ def invented_page(rng: random.Random) -> tuple[str, list[str]]:
         if kind < 0.68:
             return f"<main{attr(_MAIN)}>{body}</main>"
         if kind < 0.9:
-            return f'<div {rng.choice(["class", "id"])}="{rng.choice(_MAIN)}">{body}</div>'
+            tag = "div" if kind < 0.82 else "section"
+            return f'<{tag} {rng.choice(["class", "id"])}="{rng.choice(_MAIN)}">{body}</{tag}>'
         return f"<div>{body}</div>" if kind < 0.93 else body
 
     def noise(role):
@@ -212,6 +259,8 @@ def invented_page(rng: random.Random) -> tuple[str, list[str]]:
             inner = f"<h1>{say(1, 4)}</h1>" * (rng.random() < 0.3) + f"<p>{say(1, 8)}</p>" * (rng.random() < 0.5) + link(1, 3)
         else:
             inner = f"<p>{say(2, 25)}</p>" * rng.randint(1, 2) if rng.random() < 0.5 else say(2, 25)
+            if role == "notice" and rng.random() < 0.15:
+                return f"<noscript>{inner}</noscript>" if rng.random() < 0.5 else f"<noscript><{tag}{name}>{inner}</{tag}></noscript>"
         return f"<{tag}{name}>{inner}</{tag}>"
 
     before = [noise(r) for r in ("nav", "header", "ad", "notice", "form", "side") if rng.random() < 0.5]

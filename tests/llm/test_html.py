@@ -1,6 +1,7 @@
 """Blocks, the network's gradients, held-out accuracy and odd pages."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -68,3 +69,43 @@ def test_extract(spark):
 def test_marks_are_counted_over_the_whole_block():
     [(_, _, _, counts)] = html.describe([[("word " * 500 + "a. " * 10, frozenset({1}), 0.0)]])
     assert counts[0, 6] == np.float32(0.5)
+
+
+def test_scan_is_linear_and_keeps_text():
+    texts = lambda page: [b[0] for b in html.blocks(page)]
+    assert texts("<p>The <noscript>x</noscript> value<noscript><p>two</noscript>") == ["The x value", "two"]
+    assert texts('<p title="a>b">one</p><p title="open>two</p>') == ["one", "two"]
+    assert texts("a <b c") == ["a <b c"] and texts("<![CDATA[x < y]]> z<? php ?>") == ["x < y z"] and texts("<!-- never") == []
+
+    def seconds(page):
+        began = time.process_time()
+        html.blocks(page)
+        return time.process_time() - began
+
+    for odd in ("<a ", "<a '\">", '<a "', "</script", "<!", "<svg", "< "):
+        assert seconds(odd * 200_000 + ">") < 20 * max(0.05, seconds(odd * 20_000 + ">")), odd
+
+
+def plain_pages(rng):
+    """Pages by hand-written layouts, none of them by the generator that the model is trained on, and their main texts."""
+    words = "river stone market window garden letter summer bridge copper engine forest harbor island ladder mirror number orange pencil".split()
+    say = lambda a, b: " ".join(rng.choices(words, k=rng.randint(a, b)))
+    body = [say(12, 50) + "." for _ in range(rng.randint(3, 9))]
+    head = say(3, 8)
+    p = "".join(f"<p>{x}</p>" for x in body)
+    blog = f'<body><div id="header"><a href="/">{say(1, 2)}</a></div><ul class="menu"><li><a href="/a">Home</a></li><li><a href="/b">About</a></li></ul><div id="content"><div class="post"><h2>{head}</h2>{p}</div><div id="comments"><h3>2 comments</h3><div class="comment"><p>{say(3, 9)}</p></div></div></div><div id="sidebar"><h3>Related</h3><ul><li><a href="/x">{say(2, 5)}</a></li></ul></div><div id="footer">Copyright {say(1, 3)}</div></body>'
+    news = f'<body><header><nav><a href="/">News</a> <a href="/s">Sport</a></nav></header><div class="cookie-notice"><p>We use cookies.</p><button>Accept</button></div><main><article class="story"><h1>{head}</h1>{p}</article><aside class="related"><h2>More stories</h2><ul><li><a href="/1">{say(3, 6)}</a></li><li><a href="/2">{say(3, 6)}</a></li></ul></aside></main><footer><p>All rights reserved</p></footer></body>'
+    docs = f'<body><nav class="sidebar"><ul><li><a href="/1">{say(1, 3)}</a></li><li><a href="/2">{say(1, 3)}</a></li></ul></nav><main role="main"><h1>{head}</h1>{p}</main><form class="search" action="/q"><input name=q><button>Search</button></form><footer>{say(2, 5)}</footer></body>'
+    shop = f'<body><div class="top-nav"><a href="/c">{say(1, 2)}</a></div><div class="advert"><p>Buy now {say(2, 5)}</p></div><section class="article-body"><h1>{head}</h1>{p}</section><div class="newsletter"><form><label>Email</label><input><button>Subscribe</button></form></div><div class="footer">{say(2, 6)}</div></body>'
+    return [(page, "\n".join([head, *body])) for page in (blog, news, docs, shop)]
+
+
+def test_pages_of_another_making():
+    rng, right, total = random.Random(77), 0, 0
+    for _ in range(60):
+        pages = plain_pages(rng)
+        got = html.main_texts([p for p, _ in pages], html.trained())
+        right += sum(a == b for a, (_, b) in zip(got, pages, strict=True))
+        total += len(pages)
+    print("whole pages right", right, total)
+    assert right / total > 0.9
