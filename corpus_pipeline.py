@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import common, decontamination, jaccard, mixing, quality, sharding
+from quarry.llm import common, decontamination, jaccard, mixing, quality, sharding, sql
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality rules", quality_rules), ("near copies", near_copies), ("leaks", leaks), ("mixture", mixture), ("shards", shards)]
-#: The join of near copies has no SQL of bearable cost; tests compare the stages with brute force.
-ORACLE_SQL = None
+#: Brute force for small tables: all pairs that share a shingle, all windows.
+ORACLE_SQL = sql.PIPELINE
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,14 +137,14 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "_mix.*")
 
 
-def _sql_level(name: str, parent: list[str], level: str, above: str | None) -> str:
+def _sql_level(name: str, parent: list[str], level: str, above: str | None, max_epochs: int) -> str:
     path = [*parent, level]
     cases = " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in WEIGHTS[level].items())
     weight = f"CASE {cases} ELSE 1 END" if cases else "1"
     cols, over = ", ".join(path), f"PARTITION BY {', '.join(parent) or '1'} ORDER BY cap / w, {level}"
     given = f"SELECT c.*, {'g.budget' if above else 'b.total'} AS given FROM c{name} c" + (f" JOIN f{above} g USING ({', '.join(parent)})" if above else " CROSS JOIN total b")
     return f"""
-c{name} AS (SELECT {cols}, sum(tokens) * {MAX_EPOCHS} AS cap, {weight} AS w FROM leaves GROUP BY ALL),
+c{name} AS (SELECT {cols}, sum(tokens) * {max_epochs} AS cap, {weight} AS w FROM leaves GROUP BY ALL),
 g{name} AS ({given}),
 o{name} AS (SELECT *, greatest(given - coalesce(sum(cap) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)::HUGEINT AS lft,
   sum(w) OVER ({over} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS rst FROM g{name}),
@@ -153,15 +153,20 @@ l{name} AS (SELECT *, first_value(CASE WHEN cap * rst > lft * w THEN lft END IGN
 f{name} AS (SELECT {cols}, (CASE WHEN l IS NULL THEN cap ELSE least(cap, (l * w) // r) END)::BIGINT AS budget FROM l{name}),"""
 
 
-ORACLE_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+def sql(source: str, percent: int, max_epochs: int) -> str:
+    """The mixture of a relation with the columns of documents as named sub-selects, the last of them mixed."""
+    return f"""
+d AS MATERIALIZED (SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
   CASE WHEN regexp_extract(coalesce(source, 'none'), '([0-9]{{1,9}})$', 1) <> '' THEN 'd' || (regexp_extract(source, '([0-9]{{1,9}})$', 1)::INT % 3) ELSE 'none' END AS domain,
-  coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n FROM documents),
-leaves AS (SELECT domain, lang, source, sum(n)::BIGINT AS tokens FROM d GROUP BY ALL),
-total AS (SELECT (sum(tokens) * {BUDGET_PERCENT} // 100)::BIGINT AS total FROM leaves),
-{_sql_level("1", [], "domain", None)}{_sql_level("2", ["domain"], "lang", "1")}{_sql_level("3", ["domain", "lang"], "source", "2")}
+  coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n FROM {source}),
+leaves AS MATERIALIZED (SELECT domain, lang, source, sum(n)::BIGINT AS tokens FROM d GROUP BY ALL),
+total AS (SELECT (sum(tokens) * {percent} // 100)::BIGINT AS total FROM leaves),
+{_sql_level("1", [], "domain", None, max_epochs)}{_sql_level("2", ["domain"], "lang", "1", max_epochs)}{_sql_level("3", ["domain", "lang"], "source", "2", max_epochs)}
 p AS (SELECT *, CASE WHEN tokens = 0 THEN 0 ELSE budget // tokens END AS whole FROM leaves JOIN f3 USING (domain, lang, source)),
 r AS (SELECT d.*, whole, budget - whole * tokens AS rest,
   ('0x' || substr(md5('{SEED}:' || whole || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS h FROM d JOIN p USING (domain, lang, source)),
-s AS (SELECT *, sum(n) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id) AS upto FROM r)
-SELECT doc_id, domain, lang, source, n AS n_tokens, (whole + (upto <= rest)::INT)::INT AS copies FROM s WHERE whole + (upto <= rest)::INT > 0"""
+s AS (SELECT *, sum(n) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id) AS upto FROM r),
+mixed AS (SELECT doc_id, domain, lang, source, n AS n_tokens, (whole + (upto <= rest)::INT)::INT AS copies FROM s WHERE whole + (upto <= rest)::INT > 0)"""
+
+
+ORACLE_SQL = f"WITH {sql('documents', BUDGET_PERCENT, MAX_EPOCHS)} SELECT * FROM mixed"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import mixing
+from quarry.llm import sql
 from quarry.llm.decontamination import op10_decontamination
 from quarry.llm.html import op8_html_extraction
 from quarry.llm.jaccard import op4_ngram_jaccard_join
@@ -14,4 +14,4 @@ from quarry.llm.substrings import op9_substring_dedup
 from quarry.llm.tokens import op1_token_files, op3_token_counts
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_lm_scoring, op3_token_counts, op4_ngram_jaccard_join, op5_quality_rules, op6_sharding, op7_mixing, op8_html_extraction, op9_substring_dedup, op10_decontamination)}
-ORACLES = {"op7_mixing": mixing.ORACLE_SQL}
+ORACLES = sql.ORACLES
