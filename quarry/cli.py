@@ -12,7 +12,7 @@ import sys
 from pyspark.sql import SparkSession, functions as F
 
 from quarry.functions import patterns as P
-from quarry.operators import audit, queues, registry, rules
+from quarry.operators import audit, census as census_ops, queues, readings, registry, rules
 from quarry.sources import catalogs, jsonl, paged
 from quarry.streaming import ledger
 
@@ -51,34 +51,81 @@ def _walk(walk: str, fixed: dict | None = None):
             options["specs"] = json.dumps([{"id": e["id"], "q": e["q"]} for e in catalogs.read_queries(a.queries)])
         if a.topics:
             options["topics"] = json.dumps(catalogs.read_topics(a.topics))
-        saved = ledger.load_state(spark, a.state)
+        saved = ledger.under_policy(ledger.load_state(spark, a.state), a.policy)
         rows, state = paged.walk(options, saved, a.max_requests)
         out = [(i, kind, key, ledger.canonical(payload)) for i, (kind, key, payload) in enumerate(rows)]
         path = f"{a.output}/{ledger.content_path(walk, saved, [r[3] for r in out])}"
         spark.createDataFrame(out, paged.SCHEMA).write.mode("overwrite").partitionBy("kind").parquet(path)  # before the state: a replay writes the same place
-        ledger.save_state(spark, a.state, state)
+        ledger.save_state(spark, a.state, state | {"policy": a.policy})
 
     return command
 
 
 def readme_enrich(spark, a):
-    """The next rows of the reading queue, looked up, reduced to signals; texts are not kept."""
+    """The next rows of the reading queue, asked for conditionally once each, reduced to signals; texts are not kept.
+
+    Every run writes its rows (record and state) below the output before its cursors; a replay writes the same place.
+    """
     _, view = _view(spark, a)
-    saved = ledger.load_state(spark, a.state) or {"cursors": {}}
-    cursors = {int(k): v for k, v in saved["cursors"].items()}
-    queue = rules.queue_tier(view).select("github_id", "name", "queue_tier")
-    if ledger.exists(spark, a.output):  # what was read under this name and version is due again only after a while
-        wait = F.when(F.col("status") == "ok", 365).when(F.col("status") == "missing", 30).otherwise(1)
-        fresh = F.col("read_at") + F.make_dt_interval(days=wait) > F.current_timestamp()
-        queue = queue.join(spark.read.parquet(a.output).where(fresh).select("github_id", "name").distinct(), ["github_id", "name"], "left_anti")
-    todo = queues.tier_round_robin(queue, "queue_tier", "github_id", cursors, a.max_requests)
-    found = paged.lookup(todo, "name", a.client, 50)
-    text = F.unbase64(F.get_json_object("payload", "$.content")).cast("string")
-    signals = rules.readme_evidence(found.where("status = 'ok'").select(F.col("key").alias("name"), text.alias("text"))).drop("text")
-    out = todo.join(found.select(F.col("key").alias("name"), "status"), "name").join(signals, "name", "left").withColumn("read_at", F.current_timestamp())
-    out.write.mode("append").parquet(a.output)
-    tops = {str(r.queue_tier): r.top for r in todo.groupBy("queue_tier").agg(F.max("github_id").alias("top")).collect()}
-    ledger.save_state(spark, a.state, {"cursors": saved["cursors"] | tops})
+    saved = ledger.load_state(spark, a.state) or {"cursors": {}, "run": 0}
+    cursors, now = {int(k): v for k, v in saved["cursors"].items()}, F.current_timestamp()
+    if saved["run"]:
+        done = spark.read.parquet(*[f"{a.output}/run={i}" for i in range(saved["run"])])
+        prior = registry.latest(done.where("state IS NOT NULL"), "github_id", ["stamp"]).select("github_id", "state.*")
+    else:
+        prior = spark.createDataFrame([], f"github_id long, {readings.STATE}")
+    tiers = rules.queue_tier(readings.earlier_signals(view, prior), "earlier_signals").select("github_id", "name", "queue_tier")
+    todo = queues.tier_round_robin(readings.to_read(tiers, prior, now), "queue_tier", "github_id", cursors, a.max_requests)
+    todo = spark.createDataFrame(todo.collect(), todo.schema)  # at most max_requests rows
+    answered = readings.records(todo, readings.ask(todo, a.client), prior, now)
+    rows = answered.join(todo.select("github_id", "position"), "github_id").withColumn("stamp", F.unix_micros(now))
+    path = f"{a.output}/run={saved['run']}"
+    rows.write.mode("overwrite").parquet(path)  # the only time that the query runs, so each row is asked for once
+    tops = {str(r.queue_tier): r.cursor for r in readings.tier_cursors(spark.read.parquet(path)).collect()}
+    ledger.save_state(spark, a.state, {"cursors": saved["cursors"] | tops, "run": saved["run"] + 1})
+
+
+def _asked(spark, rows, name, size=50):
+    """rows (github_id, key), looked up in batches; (github_id, node), null where the lookup failed."""
+    found = paged.lookup(rows, "key", name, size).withColumnRenamed("key", "k")
+    node = "nameWithOwner string, url string, description string, topics array<string>, primaryLanguage string, stargazerCount long, isArchived boolean, isFork boolean"
+    return rows.join(found, F.col("key").cast("string") == F.col("k"), "left").select("github_id", F.from_json("payload", node).alias("node"))
+
+
+def census(spark, a):
+    """Pages of the enumeration with their nodes and decisions: candidates, coverage, and rows to try again.
+
+    Per run: what is to be tried again first, up to 100 a page asked for; then new pages. The state comes last.
+    """
+    saved = ledger.load_state(spark, a.state) or {"run": 0, "walk": None, "cursors": {}}
+    root, run = a.output, saved["run"]
+    core = "since long, github_id long, node_id string, full_name string, name string, description string"
+    kind = f"{core}, attempts int, pool string"
+    pool = spark.read.schema(kind).parquet(f"{root}/retry/run={run - 1}") if run else spark.createDataFrame([], kind)
+    again = queues.two_pool_quota(pool, "pool", "github_id", ["retry", "failed"], 100 * a.max_requests, saved["cursors"])
+    again = spark.createDataFrame(again.collect(), again.schema)  # at most 100 rows a request
+    late = census_ops.decide(census_ops.enrich(again.select(*again.columns[:6]), _asked(spark, again.select("github_id", F.col("node_id").alias("key")), a.nodes)))
+    rows, state = paged.walk({"walk": "enumerate", "client": a.client}, saved["walk"], a.max_requests)
+    sinces, since = [], (saved["walk"] or {"since": 0})["since"]
+    for k, key, p in rows:
+        if k == "item":
+            sinces.append((since, p["id"], p.get("node_id"), p.get("full_name"), p.get("name"), p.get("description")))
+        elif k == "coverage":
+            since = p["next_since"]
+    fresh = spark.createDataFrame(sinces, core)
+    new = census_ops.decide(census_ops.enrich(fresh, _asked(spark, fresh.select("github_id", F.col("node_id").alias("key")), a.nodes)))
+    both = new.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    both.write.mode("overwrite").parquet(f"{root}/rows/run={run}")  # one lookup a row; all else reads this
+    both = spark.read.parquet(f"{root}/rows/run={run}")
+    census_ops.keep_candidates(both).write.mode("overwrite").parquet(f"{root}/pages/run={run}")
+    pages = both.where("not late")
+    census_ops.page_coverage(pages).write.mode("overwrite").parquet(f"{root}/coverage/run={run}")
+    tried = both.select(F.col("github_id").alias("id"), (F.col("enrichment_status") == "enriched").alias("ok"))
+    left = ledger.retry_pools(pool.select(F.col("github_id").alias("id"), "attempts"), tried)
+    known = pool.select(*again.columns[:6]).unionByName(pages.join(fresh.select("github_id"), "github_id", "left_semi").select(*[F.col(c) for c in again.columns[:6]])).dropDuplicates(["github_id"])
+    known.join(left.withColumnRenamed("id", "github_id"), "github_id").select(*[c.split(" ")[0] for c in kind.split(", ")]).write.mode("overwrite").parquet(f"{root}/retry/run={run}")
+    tops = {r.pool: r.top for r in again.groupBy("pool").agg(F.max("github_id").alias("top")).collect()}
+    ledger.save_state(spark, a.state, {"run": run + 1, "walk": state, "cursors": saved["cursors"] | tops})
 
 
 def archive_import(spark, a):
@@ -106,17 +153,18 @@ def audit_score(spark, a):
 COMMANDS = {
     "current-view": current_view, "publish-current-view": publish_current_view, "readme-enrich": readme_enrich, "archive-import": archive_import, "audit-sample": audit_sample, "audit-score": audit_score,
     "run": _walk("search", {"fair": "true"}), "sample": _walk("search", {"once": "true"}), "backfill": _walk("search"), "backfill-fair": _walk("search", {"fair": "true", "field": "created"}),
-    "historical-sample": _walk("search", {"once": "true", "field": "created"}), "census": _walk("enumerate"), "census-daily": _walk("enumerate"), "topic-breadth-daily": _walk("topics"), "papers-daily": _walk("papers"),
+    "historical-sample": _walk("search", {"once": "true", "field": "created"}), "census": census, "census-daily": census, "topic-breadth-daily": _walk("topics"), "papers-daily": _walk("papers"),
 }
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="quarry")
     p.add_argument("command", choices=sorted(COMMANDS))
-    for name in ("observations", "evidence", "quarantine", "output", "client", "state", "queries", "topics", "archive", "frame", "annotations", "key"):
+    for name in ("observations", "evidence", "quarantine", "output", "client", "nodes", "state", "queries", "topics", "archive", "frame", "annotations", "key"):
         p.add_argument(f"--{name}")
-    p.add_argument("--evidence-versions", nargs="*", default=[P.README_VERSION])
+    p.add_argument("--evidence-versions", nargs="*", default=P.README_VERSIONS)
     p.add_argument("--option", action="append", default=[], help="name=value, handed to the walk")
+    p.add_argument("--policy", type=int, default=1, help="version of the queries' rules; another one starts walks anew")
     p.add_argument("--max-requests", type=int, default=100)
     p.add_argument("--size", action="append", default=[], help="status=rows")
     p.add_argument("--seed", type=int, default=0)

@@ -39,6 +39,32 @@ def canonical_json(lines: pd.Series) -> pd.Series:
     return lines.map(one)
 
 
+def _without(known: list[str]):
+    """Of canonical JSON objects, the canonical JSON of all keys but the known ones; null where none is left."""
+
+    @F.pandas_udf(T.StringType())
+    def extra(lines: pd.Series) -> pd.Series:
+        drop = frozenset(known)
+
+        def one(line):
+            if line is None:
+                return None
+            left = {k: v for k, v in json.loads(line).items() if k not in drop}
+            return json.dumps(left, ensure_ascii=False, sort_keys=True, separators=(",", ":")) if left else None
+
+        return lines.map(one)
+
+    return extra
+
+
+def recover_ids(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(github_id,) of earlier outputs, each once; lines that do not parse or have no positive id are passed over."""
+    v = F.try_parse_json("value")
+    kind = F.schema_of_variant(F.try_variant_get(v, "$.github_id", "variant"))
+    found = lines(spark, paths).select(F.when(kind == "BIGINT", F.try_variant_get(v, "$.github_id", "bigint")).alias("github_id"))
+    return found.where("github_id > 0").distinct()
+
+
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, line, value): every line with its file and number, from 0 in each file's split order."""
     raw = spark.read.option("lineSep", "\n").text(paths)
@@ -93,14 +119,13 @@ def observations(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame
     judged = parsed.withColumn("rule", rule)
     texts = lambda k: F.from_json(F.try_variant_get("v", f"$.{k}", "string"), "array<string>")
     known = [*STRINGS, *LABELS, *FLAGS, *COUNTS, "github_id", "topics"]
-    extra = F.map_filter(F.from_json("canonical", "map<string,string>"), lambda k, _: ~k.isin(*known))
     rows = judged.where("rule IS NULL").select(
         F.try_variant_get("v", "$.github_id", "bigint").alias("github_id"),
         *[F.when(_kind(k) == "STRING", F.try_variant_get("v", f"$.{k}", "string")).alias(k) for k in STRINGS],
         *[texts(k).alias(k) for k in [*LABELS, "topics"]],
         *[F.when(_kind(k) == "BOOLEAN", F.try_variant_get("v", f"$.{k}", "boolean")).alias(k) for k in FLAGS],
         *[F.when(_kind(k) == "BIGINT", F.try_variant_get("v", f"$.{k}", "bigint")).alias(k) for k in COUNTS],
-        F.when(F.size(extra) > 0, F.to_json(extra)).alias("extra_json"), "canonical", stamp.alias("stamp"),
+        _without(known)("canonical").alias("extra_json"), "canonical", stamp.alias("stamp"),
         F.when(F.coalesce(F.try_variant_get("v", "$.queryless", "boolean"), F.lit(False)), 0).otherwise(1).alias("rank"), "path",
     )
     return rows, judged.where("rule IS NOT NULL").select("path", "value", "rule")

@@ -153,6 +153,14 @@ def load_state(spark: SparkSession, path: str) -> dict | None:
     return json.loads(text, object_pairs_hook=sole) if text else None
 
 
+def under_policy(state: dict | None, version: int) -> dict | None:
+    """A walk's state, if it was saved under this version of the queries' rules; else progress starts anew, since cursors
+    that count pages or finished years of other queries say nothing."""
+    if state is None or state.get("policy") == version:
+        return state
+    return None
+
+
 def window(state: dict | None, start: str, now: str) -> dict:
     """The frozen window of a run: an open one goes on; a complete one hands its end to the next as start."""
     if state and not state.get("complete"):

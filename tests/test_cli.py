@@ -10,11 +10,20 @@ from tests.test_sources import row, write
 
 def make_readmes():
     import base64
+    import os
 
-    return lambda names: [{"content": base64.b64encode(b"We propose a transformer in a paper, with code.").decode()} for _ in names]
+    text = b"We propose a transformer in a paper, with code."
 
+    def get(name, etag):
+        with open(os.environ["ASKED"], "a") as f:
+            f.write(name + "\n")
+        return 200, "e", json.dumps({"type": "file", "size": len(text), "encoding": "base64", "sha": "s", "content": base64.b64encode(text).decode()})
 
-def test_view_commands(spark, tmp_path, capsys):
+    return get
+
+
+def test_view_commands(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setenv("ASKED", str(tmp_path / "asked"))
     write(tmp_path / "a.jsonl", [row(1, description="A novel diffusion model"), row(2, description="machine learning")])
     src = str(tmp_path / "a.jsonl")
     assert cli.main(["current-view", "--observations", src, "--output", str(tmp_path / "v")]) == 0
@@ -25,7 +34,9 @@ def test_view_commands(spark, tmp_path, capsys):
     args = ["readme-enrich", "--observations", src, "--output", str(tmp_path / "r"), "--state", str(tmp_path / "s.json"), "--client", "tests.test_cli:make_readmes", "--max-requests", "1"]
     assert cli.main(args) == 0 and cli.main(args) == 0
     got = spark.read.parquet(str(tmp_path / "r")).collect()
-    assert {r.github_id for r in got} == {1, 2} and all("paper-code-relationship" in r.readme_signals for r in got)
+    assert {r.github_id for r in got} == {1, 2} and all("paper-code-relationship" in r.record.readme_signals for r in got)
+    assert cli.main(args) == 0  # nothing is due
+    assert sorted((tmp_path / "asked").read_text().split()) == ["o/r1", "o/r2"]  # one request a row
     write(tmp_path / "bad.jsonl", [row(0)])
     assert cli.main(["current-view", "--observations", str(tmp_path / "bad.jsonl"), "--output", str(tmp_path / "v")]) == 2
     assert spark.read.parquet(str(tmp_path / "v")).count() == 2
