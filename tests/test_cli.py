@@ -1,6 +1,8 @@
 """Commands end to end on small files."""
 
 import json
+import tempfile
+from pathlib import Path
 
 import pytest
 
@@ -8,22 +10,24 @@ from quarry import cli
 from tests.test_sources import row, write
 
 
+ASKED = Path(tempfile.gettempdir(), "quarry-test-asked")
+
+
 def make_readmes():
     import base64
-    import os
 
     text = b"We propose a transformer in a paper, with code."
 
     def get(name, etag):
-        with open(os.environ["ASKED"], "a") as f:
+        with ASKED.open("a") as f:
             f.write(name + "\n")
         return 200, "e", json.dumps({"type": "file", "size": len(text), "encoding": "base64", "sha": "s", "content": base64.b64encode(text).decode()})
 
     return get
 
 
-def test_view_commands(spark, tmp_path, capsys, monkeypatch):
-    monkeypatch.setenv("ASKED", str(tmp_path / "asked"))
+def test_view_commands(spark, tmp_path, capsys):
+    ASKED.unlink(missing_ok=True)
     write(tmp_path / "a.jsonl", [row(1, description="A novel diffusion model"), row(2, description="machine learning")])
     src = str(tmp_path / "a.jsonl")
     assert cli.main(["current-view", "--observations", src, "--output", str(tmp_path / "v")]) == 0
@@ -36,7 +40,7 @@ def test_view_commands(spark, tmp_path, capsys, monkeypatch):
     got = spark.read.parquet(str(tmp_path / "r")).collect()
     assert {r.github_id for r in got} == {1, 2} and all("paper-code-relationship" in r.record.readme_signals for r in got)
     assert cli.main(args) == 0  # nothing is due
-    assert sorted((tmp_path / "asked").read_text().split()) == ["o/r1", "o/r2"]  # one request a row
+    assert sorted(ASKED.read_text().split()) == ["o/r1", "o/r2"]  # one request a row
     write(tmp_path / "bad.jsonl", [row(0)])
     assert cli.main(["current-view", "--observations", str(tmp_path / "bad.jsonl"), "--output", str(tmp_path / "v")]) == 2
     assert spark.read.parquet(str(tmp_path / "v")).count() == 2
