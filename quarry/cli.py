@@ -12,7 +12,7 @@ import sys
 from pyspark.sql import SparkSession, functions as F
 
 from quarry.functions import patterns as P
-from quarry.operators import audit, census as census_ops, queues, readings, registry, rules
+from quarry.operators import audit, census as census_ops, papers, queues, readings, registry, rules
 from quarry.sources import catalogs, jsonl, paged
 from quarry.streaming import ledger
 
@@ -128,6 +128,46 @@ def census(spark, a):
     ledger.save_state(spark, a.state, {"run": run + 1, "walk": state, "cursors": saved["cursors"] | tops})
 
 
+def papers_daily(spark, a):
+    """New pages of papers; then looks at papers without a usable address, then lookups of linked repositories; a sidecar of all links.
+
+    Each run writes its tables below the output under its number, and its state last, so a replay writes the same places.
+    At most max_requests pages, and max_details looks and lookups, each.
+    """
+    saved = ledger.load_state(spark, a.state) or {"run": 0, "walk": None, "details": None, "lookups": None}
+    root, run, today = a.output, saved["run"], F.lit(a.today) if a.today else F.current_date()
+    kinds = {"queue": "paper_id string, paper_date string, attempts int", "checked": "paper_id string, checked_on string", "links": papers.LINK}
+    old = {k: spark.read.schema(v).parquet(f"{root}/{k}/run={run - 1}") if run else spark.createDataFrame([], v) for k, v in kinds.items()}
+    options = {"walk": "papers", "client": a.client, **dict(o.split("=", 1) for o in a.option)}
+    rows, state = paged.walk(options, saved["walk"], a.max_requests)
+    met = [(str(p["paper"]["id"]), p["paper_date"], p["paper"].get("github_repo")) for kind, _, p in rows if kind == "item"]
+    found = spark.createDataFrame(met, "paper_id string, paper_date string, github_repo string")
+    queue = old["queue"].unionByName(papers.need_details(found, old["queue"], old["checked"], today))
+    todo = spark.createDataFrame(papers.next_details(queue, saved["details"], a.max_details).collect(), queue.schema)
+    looks = paged.lookup(todo, "paper_id", a.details, 1).select(F.col("key").alias("paper_id"), (F.col("status") != "error").alias("ok"), F.get_json_object("payload", "$.github_repo").alias("github_repo"))
+    looks.write.mode("overwrite").parquet(f"{root}/looks/run={run}")  # one look a paper
+    left, made, done = papers.after_details(queue, spark.read.parquet(f"{root}/looks/run={run}"))
+    left.write.mode("overwrite").parquet(f"{root}/queue/run={run}")
+    now = done.withColumn("checked_on", today.cast("string"))
+    registry.upsert(old["checked"], now, ["paper_id"]).write.mode("overwrite").parquet(f"{root}/checked/run={run}")
+    every = papers.sidecar(old["links"], papers.links(found).unionByName(made).join(old["links"].where("link_status = 'resolved'"), papers.KEYS, "left_anti"), spark.createDataFrame([], "paper_id string, normalized_repo string, github_id long"))
+    every.write.mode("overwrite").parquet(f"{root}/unresolved/run={run}")
+    every = spark.read.schema(papers.LINK).parquet(f"{root}/unresolved/run={run}")
+    place = F.struct("paper_date", "paper_id", "normalized_repo")
+    late = place <= F.struct(*[F.lit(x).alias(c) for x, c in zip(saved["lookups"], ("paper_date", "paper_id", "normalized_repo"), strict=True)]) if saved["lookups"] else F.lit(False)
+    asked = every.where("link_status = 'unresolved'").orderBy(late, "paper_date", "paper_id", "normalized_repo").limit(a.max_details)
+    asked = spark.createDataFrame(asked.collect(), every.schema)
+    ids = paged.lookup(asked.select("normalized_repo").distinct(), "normalized_repo", a.nodes, 50).select(F.col("key").alias("normalized_repo"), F.get_json_object("payload", "$.id").cast("long").alias("github_id")).where("github_id IS NOT NULL")
+    resolved = asked.drop("github_id").join(ids, "normalized_repo").select("paper_id", "normalized_repo", "github_id")
+    resolved.write.mode("overwrite").parquet(f"{root}/resolved/run={run}")  # one lookup a repository
+    resolved = spark.read.parquet(f"{root}/resolved/run={run}")
+    papers.sidecar(every, every.limit(0), resolved).select(*[c.split(" ")[0] for c in papers.LINK.split(", ")]).write.mode("overwrite").parquet(f"{root}/links/run={run}")
+    papers.observed_papers(resolved).write.mode("overwrite").parquet(f"{root}/papers/run={run}")
+    last = lambda df, *keys: (lambda r: list(r) if r else None)(df.orderBy(*[F.col(k).desc() for k in keys]).select(*keys).first())
+    turn = {"details": last(todo, "paper_date", "paper_id") or saved["details"], "lookups": last(asked, "paper_date", "paper_id", "normalized_repo") or saved["lookups"]}
+    ledger.save_state(spark, a.state, {"run": run + 1, "walk": state, **turn}, 1 << 20)
+
+
 def archive_import(spark, a):
     """Links of an archive matched to repositories by a name that only one of them has."""
     links = spark.read.parquet(a.archive).withColumn("normalized_repo_name", rules.X.loose_repository(F.col("repo_url"))).where("normalized_repo_name IS NOT NULL")
@@ -153,18 +193,19 @@ def audit_score(spark, a):
 COMMANDS = {
     "current-view": current_view, "publish-current-view": publish_current_view, "readme-enrich": readme_enrich, "archive-import": archive_import, "audit-sample": audit_sample, "audit-score": audit_score,
     "run": _walk("search", {"fair": "true"}), "sample": _walk("search", {"once": "true"}), "backfill": _walk("search"), "backfill-fair": _walk("search", {"fair": "true", "field": "created"}),
-    "historical-sample": _walk("search", {"once": "true", "field": "created"}), "census": census, "census-daily": census, "topic-breadth-daily": _walk("topics"), "papers-daily": _walk("papers"),
+    "historical-sample": _walk("history"), "census": census, "census-daily": census, "topic-breadth-daily": _walk("topics"), "papers-daily": papers_daily,
 }
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="quarry")
     p.add_argument("command", choices=sorted(COMMANDS))
-    for name in ("observations", "evidence", "quarantine", "output", "client", "nodes", "state", "queries", "topics", "archive", "frame", "annotations", "key"):
+    for name in ("observations", "evidence", "quarantine", "output", "client", "nodes", "details", "today", "state", "queries", "topics", "archive", "frame", "annotations", "key"):
         p.add_argument(f"--{name}")
     p.add_argument("--evidence-versions", nargs="*", default=P.README_VERSIONS)
     p.add_argument("--option", action="append", default=[], help="name=value, handed to the walk")
     p.add_argument("--policy", type=int, default=1, help="version of the queries' rules; another one starts walks anew")
+    p.add_argument("--max-details", type=int, default=200)
     p.add_argument("--max-requests", type=int, default=100)
     p.add_argument("--size", action="append", default=[], help="status=rows")
     p.add_argument("--seed", type=int, default=0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarry import cli
 from quarry.functions import patterns as P
 from quarry.operators import archives, census, papers, readings
-from quarry.sources import jsonl
+from quarry.sources import jsonl, paged
 from quarry.streaming import bundles, ledger
 from tests.test_sources import row, write
 
@@ -97,6 +97,55 @@ def test_census_command(spark, tmp_path):
     assert (after[0].candidate_count, after[0].unknown_count, after[0].enriched, after[0].retry_ids) == (2, 0, 3, []) and after[3].retry_ids == []
 
 
+class Lists:
+    def __init__(self, options):
+        pass
+
+    def papers(self, day, page, limit):
+        return [{"id": f"{day}/{i}", "github_repo": f"https://github.com/o/r{i}" if i == 0 else None} for i in range(3)] if day == "2026-01-01" else []
+
+
+def paper_details():
+    return lambda keys: [RuntimeError("later") if k.endswith("/2") else {"github_repo": "https://github.com/o/r1"} for k in keys]
+
+
+def repository_ids():
+    return lambda keys: [{"id": 10} if k == "o/r0" else None for k in keys]
+
+
+def repository_ids_later():
+    return lambda keys: [{"id": 11} for _ in keys]
+
+
+def test_papers_command(spark, tmp_path):
+    out = str(tmp_path / "o")
+    args = ["papers-daily", "--client", "tests.test_flows:Lists", "--details", "tests.test_flows:paper_details", "--state", str(tmp_path / "s.json"), "--output", out, "--option", "start=2026-01-01", "--option", "end=2026-01-02", "--max-requests", "2", "--today", "2026-01-02"]
+    assert cli.main([*args, "--nodes", "tests.test_flows:repository_ids"]) == 0
+    show = lambda run: {(r.paper_id[-1], r.normalized_repo, r.github_id, r.link_status) for r in spark.read.parquet(f"{out}/links/run={run}").collect()}
+    assert show(0) == {("0", "o/r0", 10, "resolved"), ("1", "o/r1", None, "unresolved")}
+    assert [(r.paper_id[-1], r.attempts) for r in spark.read.parquet(f"{out}/queue/run=0").collect()] == [("2", 1)]
+    assert cli.main([*args, "--nodes", "tests.test_flows:repository_ids_later"]) == 0
+    assert show(1) == {("0", "o/r0", 10, "resolved"), ("1", "o/r1", 11, "resolved")}
+    assert [r.attempts for r in spark.read.parquet(f"{out}/queue/run=1").collect()] == [2]
+
+
+def test_history_and_topics():
+    specs = json.dumps([{"id": i, "q": i} for i in ("a-1", "a-2", "b-1")])
+    options = {"walk": "history", "client": "tests.fake_remote:Client", "specs": specs, "first_year": "2023", "last_year": "2024", "per_page": "10"}
+    rows, state = paged.walk(options, None, 4)
+    asked = [p["query"].split(" ")[0] + p["query"][-10:-6] for kind, _, p in rows if kind == "coverage"]
+    assert asked == ["a-12024", "b-12024", "a-22024", "a-12023"] and not state["complete"]
+    rows, state = paged.walk(options, state, 9)
+    assert len([1 for kind, *_ in rows if kind == "coverage"]) == 2 and state["complete"] and state["done"]["b-1"] == [2023, 2024]
+    assert paged.walk(options, {"done": [["a-1", 2024]]}, 0)[1]["done"] == {"a-1": [2024]}
+    options = {"walk": "topics", "client": "tests.fake_remote:Client", "topics": json.dumps(["x", "y"]), "today": "2026-01-01"}
+    rows, state = paged.walk(options, None, 99)
+    assert state["deep_done"] == {"x": "2026-01-01", "y": "2026-01-01"}
+    modes = lambda day, s: [(k, p["mode"]) for kind, k, p in paged.walk(options | {"today": day}, s, 3)[0] if kind == "coverage"]
+    assert modes("2026-01-01", state) == [] and modes("2026-01-02", state) == [("x", "head"), ("y", "head")]
+    assert modes("2026-01-31", state) == [("x", "head"), ("y", "head"), ("x", "deep")]
+
+
 def test_topic_rows(spark):
     rows = [(1, 10, "o/a", ["x"], False, "ml", True), (1, 10, "o/a", ["x"], False, "ml", True), (1, 11, "o/b", None, True, "ml", True), (2, 12, "o/c", ["y"], None, "ml", False)]
     got = {r.github_id: r for r in census.topic_rows(spark.createDataFrame(rows, "page int, github_id long, full_name string, topics array<string>, fork boolean, topic string, head boolean")).collect()}
