@@ -63,9 +63,24 @@ def overlay_evidence(rows: DataFrame, evidence: DataFrame, key: str = "github_id
     return rows.join(side, rows[key] == side["_k"], "left").withColumn("readme_status", status).drop("_k", "_s")
 
 
+def history(rows: DataFrame, fields: dict[str, str] = LABELS) -> DataFrame:
+    """Each id's latest row with its first sight, its count and its labels over all rows, from one shuffle of partial aggregates.
+
+    A row's labels are made a sorted set first, so that the sets of a hot id have as many members as there are different ones.
+    """
+    shape = lambda f: (lambda x: X.method_slug(X.strip(x))) if f == "methods" else X.strip
+    own = {f"_{f}": X.sorted_set(F.transform(F.coalesce(f, F.array().cast("array<string>")), shape(f))) for f in fields}
+    best = F.max_by(F.struct(*rows.columns), F.struct("rank", "stamp", "canonical")).alias("r")
+    first = F.min(F.struct("stamp", X.strip(F.col("observed_at")).alias("at"))).getField("at").alias("first_observed_at")
+    sets = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"_{f}")))).alias(out) for f, out in fields.items()]
+    done = rows.withColumns(own).groupBy("github_id").agg(best, first, F.count(F.lit(1)).alias("observation_count"), *sets)
+    kept = [c for c in rows.columns if c not in ("first_observed_at", "observation_count", *fields.values())]
+    return done.select(*[F.col(f"r.{c}").alias(c) for c in kept], "first_observed_at", "observation_count", *fields.values())
+
+
 def current_view(rows: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
     """The registry: latest rows, first sight, counts, unions, evidence and all rule results."""
-    view = latest_by_precedence(rows).drop("paper_ids").join(first_seen(rows), "github_id").join(label_unions(rows), "github_id")
+    view = history(rows)
     if evidence is not None:
         view = overlay_evidence(view, evidence)
     return rules.candidate(rules.select(rules.relevance(view)))

@@ -39,6 +39,12 @@ def _in(label: str, values: Column) -> Column:
     return F.coalesce(F.array_contains(values, label), F.lit(False))
 
 
+def _once(df: DataFrame, had: list[str], *columns: Column) -> DataFrame:
+    """The columns had and some more. These leave as a generator's, so that a filter on them is not pushed into their
+    rules, which would then run once for every place that names them."""
+    return df.select(*had, F.inline(F.array(F.struct(*columns))))
+
+
 def relevance(df: DataFrame) -> DataFrame:
     """evidence_version, evidence_tier and evidence_signals from name, description and topics."""
     had = df.columns
@@ -236,7 +242,7 @@ def select(df: DataFrame) -> DataFrame:
     signals = F.concat(F.when(F.col("_active"), F.col("_rs")).otherwise(none), F.when(F.col("_why").isin(*early), own).otherwise(late))
     parts = F.split("_why", ":")
     kept = [c for c in had if not c.startswith("selection_")]
-    return df.select(*kept, F.lit(P.SELECTION_VERSION).alias("selection_version"), parts[0].alias("selection_status"), parts[1].alias("selection_reason"), X.sorted_set(signals).alias("selection_signals"))
+    return _once(df, kept, F.lit(P.SELECTION_VERSION).alias("selection_version"), parts[0].alias("selection_status"), parts[1].alias("selection_reason"), X.sorted_set(signals).alias("selection_signals"))
 
 
 def probable_content(text: Column) -> Column:
@@ -343,7 +349,7 @@ def candidate(df: DataFrame) -> DataFrame:
     )
     old = F.transform(F.array_intersect(F.coalesce("selection_signals", none), F.array(F.lit("ml-method-cue"), F.lit("paper-and-code-cue"))), lambda x: F.concat(F.lit("selection:"), x))
     proof = F.when(c.isin("route", "left", "weak"), F.col("_ev")).when(c == "legacy", F.array_sort(old)).otherwise(none)
-    return df.select(*had, F.lit(P.CANDIDATE_VERSION).alias("candidate_rule_version"), c.isin("include", "route", "legacy").alias("candidate_eligible"), said.alias("candidate_reason"), proof.alias("candidate_evidence"))
+    return _once(df, had, F.lit(P.CANDIDATE_VERSION).alias("candidate_rule_version"), c.isin("include", "route", "legacy").alias("candidate_eligible"), said.alias("candidate_reason"), proof.alias("candidate_evidence"))
 
 
 def queue_tier(df: DataFrame, prior_signals: str | None = None) -> DataFrame:

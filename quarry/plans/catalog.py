@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarry.functions import patterns as P, text as X
+from quarry.functions import patterns as P, plan, text as X
 from quarry.operators import audit, pages, queues, registry, rules
 from quarry.plans import examples as E
 
@@ -87,8 +87,7 @@ SELECT github_id, name, observation_count, first_observed_at, all_query_ids, all
 def current_registry(spark, sf_dir):
     """Log to registry by relevance tier: the flagship."""
     rows = log(spark, sf_dir)
-    view = registry.latest_by_precedence(rows).drop("paper_ids").join(registry.first_seen(rows), "github_id").join(registry.label_unions(rows), "github_id")
-    return rules.relevance(view).select("github_id", "name", "observation_count", "first_observed_at", join("all_query_ids").alias("all_query_ids"), join("all_methods").alias("all_methods"), "evidence_tier")
+    return rules.relevance(registry.history(rows)).select("github_id", "name", "observation_count", "first_observed_at", join("all_query_ids").alias("all_query_ids"), join("all_methods").alias("all_methods"), "evidence_tier")
 
 
 @query(f"WITH {LOG} SELECT github_id, arg_max(event_id, row(rank, stamp, canonical)) AS event_id, arg_max(description, row(rank, stamp, canonical)) AS description FROM log GROUP BY 1")
@@ -128,14 +127,14 @@ def nonfork_view(spark, sf_dir):
 
 @query(f"WITH {LOG}, x AS (SELECT event_id, name || chr(10) || description AS t FROM log) SELECT event_id, {RELEVANCE} AS evidence_tier, {_DIRECT} AS direct, {_RELATED} AS related FROM x")
 def relevance_tier(spark, sf_dir):
-    out = rules.relevance(log(spark, sf_dir))
+    out = rules.relevance(plan.spread(log(spark, sf_dir)))
     of = lambda names: join(F.filter("evidence_signals", lambda s: s.isin(*names)))
     return out.select("event_id", "evidence_tier", of(P.DIRECT_TEXT).alias("direct"), of(P.RELATED_TEXT).alias("related"))
 
 
 @query(f"WITH {LOG}, x AS (SELECT event_id, lower(replace(replace(concat_ws(' ', name, description), '-', ' '), '_', ' ')) AS c FROM log) SELECT event_id, {DOMAIN_SQL} AS domains, {METHOD_SQL} AS methods FROM x")
 def repository_labels(spark, sf_dir):
-    return rules.labels(log(spark, sf_dir)).select("event_id", join("domains").alias("domains"), join("methods").alias("methods"))
+    return rules.labels(plan.spread(log(spark, sf_dir))).select("event_id", join("domains").alias("domains"), join("methods").alias("methods"))
 
 
 @query("SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part")
@@ -146,14 +145,14 @@ def method_slug(spark, sf_dir):
 @query(f"""WITH {LOG}, x AS (SELECT event_id, concat_ws(' ', name, '', description, '') AS p, lower(replace(replace(concat_ws(' ', name, description), '-', ' '), '_', ' ')) AS c FROM log)
 SELECT event_id, CASE WHEN {re2(P.CANDIDATE_TERMS, "replace(p, '-', ' ')")} OR {DOMAIN_SQL} <> '' OR {METHOD_SQL} <> '' THEN 'candidate' WHEN length(trim(p)) < 12 OR {re2(P.BARE_ABBREVIATION, "p")} THEN 'unknown' ELSE 'not_candidate' END AS candidate_status FROM x""")
 def decision_three_way(spark, sf_dir):
-    return rules.decision(log(spark, sf_dir)).select("event_id", "candidate_status")
+    return rules.decision(plan.spread(log(spark, sf_dir))).select("event_id", "candidate_status")
 
 
 def examples(spark, sf_dir) -> DataFrame:
     """events with the example repository of each (a small dimension, joined by its number)."""
     rows = [(i, n, d, t, f, "ok" if s else None, s, sec, P.README_VERSION) for i, (n, d, t, f, s, sec, *_) in enumerate(E.REPOSITORIES)]
     dim = spark.createDataFrame(rows, "i int, name string, description string, topics array<string>, fork boolean, readme_status string, readme_signals array<string>, readme_sections array<string>, readme_evidence_version string")
-    return table(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(len(rows))).cast("int").alias("i")).join(F.broadcast(dim), "i")
+    return plan.spread(table(spark, sf_dir, "events").select("event_id")).select("event_id", F.pmod("event_id", F.lit(len(rows))).cast("int").alias("i")).join(F.broadcast(dim), "i")
 
 
 _STATUS, _REASON = [r[6] for r in E.REPOSITORIES], [r[7] for r in E.REPOSITORIES]
@@ -189,12 +188,12 @@ def candidate_view(spark, sf_dir):
 @query(f"SELECT event_id, {picked_sql([c for _, c in E.CONTENT], 'event_id')} AS cues FROM events")
 def probable_content(spark, sf_dir):
     text = picked([t for t, _ in E.CONTENT], F.col("event_id"))
-    return table(spark, sf_dir, "events").select("event_id", join(rules.probable_content(text)).alias("cues"))
+    return plan.spread(table(spark, sf_dir, "events").select("event_id")).select("event_id", join(rules.probable_content(text)).alias("cues"))
 
 
 @query(f"SELECT event_id, {picked_sql([s for _, s, _ in E.READMES], 'event_id')} AS signals, {picked_sql([s for *_, s in E.READMES], 'event_id')} AS sections FROM events")
 def readme_evidence(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", picked([t for t, _, _ in E.READMES], F.col("event_id")).alias("text"))
+    rows = plan.spread(table(spark, sf_dir, "events").select("event_id")).select("event_id", picked([t for t, _, _ in E.READMES], F.col("event_id")).alias("text"))
     return rules.readme_evidence(rows).select("event_id", join("readme_signals").alias("signals"), join("readme_sections").alias("sections"))
 
 
