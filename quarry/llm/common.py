@@ -23,6 +23,8 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from quarry.functions.plan import spread
+
 CHUNK_BYTES = 2 << 20
 U64 = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -55,6 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small(docs: DataFrame) -> DataFrame:
+    """docs over all cores if its files are of one task's size, else as they are; rows are dealt the same way each time."""
+    return spread(docs)
+
+
 def row_of(docs: DataFrame) -> Column:
     """All columns of docs as one column "row", beside which other columns may have any names."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

@@ -22,7 +22,7 @@ from quarry.llm import common as C
 
 SHINGLE, PERCENT, BLOCKS, BITS, NEAR = 5, 80, 8, 8, 2
 RADIUS = BLOCKS * (NEAR + 1) - 1
-#: A side is broadcast up to so many rows; beyond that Spark shuffles both.
+#: A side is broadcast up to so many rows (or members of its rows' arrays), a few tens of megabytes; beyond that Spark shuffles both.
 BROADCAST_ROWS = 500_000
 _MASKS = [m for m in range(1 << BITS) if bin(m).count("1") <= NEAR]
 
@@ -68,8 +68,10 @@ def _starts() -> Column:
     return F.array_distinct(F.flatten(F.transform(at, reach)))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, members: str | None = None) -> DataFrame:
+    """df, to be broadcast if it has few rows; where rows hold an array, few of its members in all."""
+    n = F.sum(F.size(members) + 1) if members else F.count(F.lit(1))
+    return F.broadcast(df) if (df.agg(n).first()[0] or 0) <= BROADCAST_ROWS else df
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -90,7 +92,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     likely = pairs.where(F.col("covered") * 100 >= F.col("weight") * PERCENT)
     starts = likely.select("doc_id", "k", "len", F.explode(_starts()).alias("start")).distinct()
     wanted = C.materialise(starts.groupBy(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).agg(F.collect_list(F.struct("start", "len")).alias("windows")))
-    found = texts.join(_small(wanted), (F.col("k") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "k", "windows", _words(F.col("text")).alias("w"))
+    found = texts.join(_small(wanted, "windows"), (F.col("k") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "k", "windows", _words(F.col("text")).alias("w"))
     cut = found.dropDuplicates(["doc_id", "k"]).select("doc_id", "k", "w", F.explode("windows").alias("at"))
     cut = cut.select("doc_id", "k", "at.start", "at.len", _shingles(F.slice("w", F.col("at.start") + 1, F.col("at.len"))).alias("wh"))
     windows = C.materialise(cut.withColumn("wfp", _fingerprint(F.col("wh"))))
@@ -105,7 +107,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     near = near.select("doc_id", "k", "start", "len", "item").distinct()
     # exact: sum of the smaller counts against sum of the larger ones
     side = windows.select(F.col("doc_id").alias("_id"), F.col("k").alias("_k"), F.col("start").alias("_s"), F.col("len").alias("_len"), "wh")
-    both = near.join(side, near.doc_id.eqNullSafe(F.col("_id")) & (near.k == F.col("_k")) & (near.start == F.col("_s")) & (near.len == F.col("_len"))).join(_small(items.select("item", "item_id", "h")), "item")
+    both = near.join(side, near.doc_id.eqNullSafe(F.col("_id")) & (near.k == F.col("_k")) & (near.start == F.col("_s")) & (near.len == F.col("_len"))).join(_small(items.select("item", "item_id", "h"), "h"), "item")
     count = lambda a, x: F.size(F.filter(F.col(a), lambda y: y == x))
     common = F.aggregate(F.array_intersect("wh", "h"), F.lit(0), lambda s, x: s + F.least(count("wh", x), count("h", x)))
     both = both.withColumn("common", common).withColumn("union", F.size("wh") + F.size("h") - F.col("common"))
@@ -129,5 +131,5 @@ def op10_decontamination(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts give no rows, nor do empty tables; repeated rows give one; a null doc_id or item_id is an id.
     """
-    found = leaks(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+    found = leaks(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")), C.table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "start")

@@ -491,4 +491,4 @@ def extract(pages: DataFrame, html: str = "html", carry: list[str] | None = None
 
 def op8_html_extraction(spark, sf_dir: str) -> DataFrame:
     """The main text of all pages: (page_id, url, text, n_chars); see extract."""
-    return extract(C.table(spark, sf_dir, "pages"))
+    return extract(C.small(C.table(spark, sf_dir, "pages")))

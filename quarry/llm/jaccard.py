@@ -454,4 +454,4 @@ def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no shingles and link with nothing; repeated rows each get the same answer; an empty table gives no rows.
     """
-    return near_copies(C.table(spark, sf_dir, "documents"), 4, 85).select("doc_id", "n_shingles", "component_id")
+    return near_copies(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")), 4, 85).select("doc_id", "n_shingles", "component_id")

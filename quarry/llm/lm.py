@@ -10,7 +10,7 @@ broadcast); a word of a hashed entry has the entry's probability times its own s
 words' counts in the corpus come back to each input partition, for its own words, in files that only its task
 reads. So the probabilities of all words of the corpus add up to one in every context.
 
-Training goes over all documents in ROUNDS rounds, each document in one by its place in its partition, all its words
+Training goes over all documents in ROUNDS rounds, each document in one by the hash of its key and text, all its words
 as targets: each task starts from the round's parameters; the tasks' parameters are averaged, weighted by targets, a
 few at a time. Embeddings and the entries in classes are learned in larger batches, on the hidden layer as it was.
 What is counted and averaged grows with the corpus.
@@ -292,9 +292,10 @@ class Network:
         return Network({k: x.reshape(s).astype(np.float32) for (k, s), x in zip(SHAPES.items(), np.split(flat, cuts[:-1]), strict=True)})
 
 
-def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "text") -> Network:
+def train_round(docs: DataFrame, words, start: Network, turn: int, text: str = "text", key: str | None = None) -> Network:
     """Average of the networks that the tasks reach from start, weighted by their targets: the words of the texts of this round."""
-    nth = F.monotonically_increasing_id() % ROUNDS  # the rows of a partition take turns, so that copies are in all rounds
+    # by key and text, or else the rows of a partition take turns: either way copies are in all rounds
+    nth = F.pmod(F.xxhash64(key, text), F.lit(ROUNDS)) if key else F.monotonically_increasing_id() % ROUNDS
     own = docs.select(F.col(text).alias("text"), nth.alias("turn")).where(F.col("turn") == turn).select("text")
     first = docs.sparkSession.sparkContext.broadcast(start.p)
 
@@ -374,11 +375,11 @@ def score_texts(texts: pa.Array, v: Vocabulary, net: Network, batch: int = 4096,
     return (np.concatenate(n_words), np.concatenate(sums)) if sums else (np.zeros(0, np.int64), np.zeros(0))
 
 
-def train(docs: DataFrame, text: str = "text", path: str | None = None) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, text: str = "text", path: str | None = None, key: str | None = None) -> tuple[Vocabulary, Network]:
     v, net = learn_vocabulary(docs.sparkSession, path or count_words(docs.select(F.col(text).alias("text")))), Network()
     words = docs.sparkSession.sparkContext.broadcast(v)
     for turn in range(ROUNDS):
-        net = train_round(docs, words, net, turn, text)
+        net = train_round(docs, words, net, turn, text, key)
     return v, net
 
 
@@ -392,7 +393,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", model: tuple
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     path = count_words(rows)
-    v, net = model or train(rows, "text", path)
+    v, net = model or train(rows, "text", path, "doc_id")
     shared = spark.sparkContext.broadcast((v, net.p))
 
     def work(batches):
@@ -416,4 +417,4 @@ def op2_lm_scoring(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no words, a score of 0 and a null per_word; repeated rows score alike; an empty table gives no rows.
     """
-    return score(C.table(spark, sf_dir, "documents"))
+    return score(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")))

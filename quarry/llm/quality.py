@@ -138,4 +138,4 @@ def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no words and fail; rows without a source form one host; repeated rows each count; an empty table gives no rows.
     """
-    return annotate(C.table(spark, sf_dir, "documents"), carry=["doc_id"]).select("doc_id", "quality.*")
+    return annotate(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text", "source")), carry=["doc_id"]).select("doc_id", "quality.*")

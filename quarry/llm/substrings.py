@@ -391,4 +391,4 @@ def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no words; repeated rows lose all windows that they share; an empty table gives no rows.
     """
-    return remove_repeats(C.table(spark, sf_dir, "documents"), digest=True)
+    return remove_repeats(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")), digest=True)

@@ -23,7 +23,7 @@ CACHE_PIECES = 450_000
 _WHITE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TAIL = ".,!?;:#%$*&\"')"
 _STEM = methodcaller("rstrip", _TAIL)
-ROW_GROUP_BYTES, PAGE_BYTES = 24 << 20, 256 << 10
+ROW_GROUP_BYTES, PAGE_BYTES, BROADCAST_FILES = 24 << 20, 256 << 10, 1_000_000
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,8 +250,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 def _in_ranges(keys: DataFrame) -> bool:
     """Whether no partition's keys reach into another's; from the key column alone, a row a partition."""
     parts = keys.groupBy(F.spark_partition_id()).agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count_if(F.col("key").isNull()).alias("nulls"))
-    found = sorted(parts.select("low", "high", "nulls").collect(), key=lambda r: (r.low is not None, r.low))
-    return all(not r.nulls for r in found) and all(a.high < b.low for a, b in zip(found, found[1:], strict=False))
+    before = F.max("high").over(W.orderBy("low").rowsBetween(W.unboundedPreceding, -1))
+    return not parts.withColumn("before", before).where("nulls > 0 or before >= low").limit(1).count()
 
 
 def _partition_id() -> int:
@@ -266,11 +266,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     Only the files' totals are summed over (a row a file); every other column is read where it is used.
     """
     stored = spark.read.parquet(path)
-    base = _bases(stored)
-    joined = stored.join(F.broadcast(base), "file")  # a row a file
+    joined = stored.join(_hinted(_bases(stored), len(stored.inputFiles())), "file")
     return joined.select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "tokens")
 
 
+def _hinted(base: DataFrame, files: int) -> DataFrame:
+    """base, a row a file, to be broadcast if there are not too many files."""
+    return F.broadcast(base) if files <= BROADCAST_FILES else base
+
+
 def _bases(stored: DataFrame) -> DataFrame:
     """(file, base): the count of ids in all files before."""
     totals = stored.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
@@ -301,7 +305,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                             yield pa.RecordBatch.from_arrays([part.column("file"), part.column("offset"), part.column("key"), part.column("n_tokens"), pa.array(sums, pa.int64())], ["file", "offset", "key", "n_tokens", "ids_crc32"])
 
     found = names.mapInArrow(read, f"file int, offset long, key {kind}, n_tokens long, ids_crc32 long")
-    return found.join(F.broadcast(base), "file").select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(_hinted(base, len(files)), "file").select("key", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op1_token_files(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -312,7 +316,7 @@ def op1_token_files(spark, sf_dir: str, tokenizer: str | None = None) -> DataFra
     import public_tokenizers
 
     path = C.uri(C.fresh_dir(spark, "tokens"))
-    write_tokens(C.table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    write_tokens(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")), path, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return digests(spark, path).withColumnRenamed("key", "doc_id")
 
 
@@ -432,6 +436,6 @@ def op3_token_counts(spark, sf_dir: str, tokenizer: str | None = None) -> DataFr
     import public_tokenizers
 
     path = C.uri(C.fresh_dir(spark, "flat"))
-    order = write_flat(C.table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    order = write_flat(C.small(C.table(spark, sf_dir, "documents").select("doc_id", "text")), path, tokenizer or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     # a checkpoint has no size that the planner could trust, so the join is told not to broadcast
     return count_tokens(spark, path).join(order.hint("merge"), ["file", "ordinal"]).select(F.col("key").alias("doc_id"), "file", "ordinal", "start", "n_tokens", "ended")
