@@ -422,7 +422,7 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
     roots = components(links)
     named = sets.join(roots.withColumnRenamed("node", "d1"), "d1", "left").withColumn("root", F.coalesce("root", "d1"))
     best = C.materialise(named.select("d1", "d2", "root", "rep"))
-    heads = best.groupBy("root").agg(F.min("rep").alias("head"))
+    heads = C.materialise(best.groupBy("root").agg(F.min("rep").alias("head")))  # written, so that the join can split a large component
     answer = best.join(heads, "root").select("d1", "d2", "head")
     empty = nodes.where("n = 0").select("doc_id", "k", F.col("n").alias("n_shingles"), "d1", F.col("doc_id").alias("component_id"), F.struct("doc_id", "k").alias("rep"))
     full_rows = nodes.where("n > 0").join(answer, ["d1", "d2"]).select("doc_id", "k", F.col("n").alias("n_shingles"), "d1", F.col("head.doc_id").alias("component_id"), F.struct("head.doc_id", "head.k").alias("rep"))
