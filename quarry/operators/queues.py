@@ -1,7 +1,8 @@
 """Fair queues: interleaving, rotation, quotas, lanes and grids as ranks.
 
 Ranks are by group. Where a group may be large, a limit on the result keeps only the first rows of each group
-before anything is sorted as a whole.
+before anything is sorted as a whole; a limit of up to 1,000 Spark applies in each task before rows meet (WindowGroupLimit),
+so a hot group is not one task's work.
 """
 
 from __future__ import annotations
