@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -113,6 +114,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop(*frames: DataFrame) -> None:
+    """Delete what materialise wrote for frames that nothing reads any more.
+
+    Spark's cleaner follows the driver's collector, which may not run once in a query, so it is called: shuffles of
+    plans that nobody holds go then, too.
+    """
+    spark = frames[0].sparkSession
+    for df in frames:
+        written = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if written.isDefined():
+            remove(spark, written.get())
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 # What a shuffle tells a partition of the input: files in a folder for each partition, which only its task reads when
 # it goes over the same rows again.
 
@@ -124,22 +140,27 @@ def task() -> int:
 
 
 def write_told(told: DataFrame, path: str) -> None:
-    """Write rows (pid, kind, blob) by pid."""
+    """Write rows (pid, ...) by pid."""
     told.repartition("pid").write.partitionBy("pid").parquet(path)
 
 
-def mine(path: str) -> dict[str, list[bytes]]:
-    """What the files below path say to this task's partition, by kind."""
+def my_rows(path: str, columns: list[str]) -> Iterator[pa.Table]:
+    """What the files below path say to this task's partition, a table a file."""
     fs, top = pafs.FileSystem.from_uri(path)
     folder = f"{top}/pid={task()}"
-    out: dict[str, list[bytes]] = {}
     if fs.get_file_info(folder).type == pafs.FileType.Directory:
         for f in fs.get_file_info(pafs.FileSelector(folder)):
             if f.base_name.endswith(".parquet"):
                 with fs.open_input_file(f.path) as source:
-                    t = pq.read_table(source, columns=["kind", "blob"])
-                for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
-                    out.setdefault(kind, []).append(blob)
+                    yield pq.read_table(source, columns=columns)
+
+
+def mine(path: str) -> dict[str, list[bytes]]:
+    """What the files below path say to this task's partition, by kind."""
+    out: dict[str, list[bytes]] = {}
+    for t in my_rows(path, ["kind", "blob"]):
+        for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
+            out.setdefault(kind, []).append(blob)
     return out
 
 

@@ -20,6 +20,10 @@ Equal sets are one node. Regions beyond MAX_REGION shingles or MAX_DOCS sets are
 joined for itself, together with the region's smallest set; what is then linked with that set needs no comparison
 with each other any more. What is not is compared with all blocks of the linked ones, and among itself by pairs of
 blocks. So a dense group of near copies, however large, costs about one pass, and no task holds it whole.
+
+Texts are never shuffled, however many documents are in regions: each input partition is told, in a file that only its
+task reads, which of its rows go to which blocks, and cuts them into shingles again. A repeated scan must give the same
+partitions; each task checks this and fails otherwise. What a step has read is deleted before the next one.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ EXTRA = 0.05
 FREQUENT, SAMPLE, MIN_SEEN = 0.004, 8, 12
 ENTRIES_PER_CELL, MAX_REGION, MAX_DOCS, LEAF, PIVOTS = 250_000, 1_000_000, 128, 48, 8
 BROADCAST_ROWS = 500_000
+#: Bytes of sets that a task of a later scan gives away at once.
+BATCH_BYTES = 8 << 20
 #: Sets that a task of the first scan remembers, so that copies in one partition add no entries twice.
 KNOWN_SETS = 500_000
 _TOP = np.uint64(1 << 63)
@@ -111,12 +117,15 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
 
 
 def _nodes(texts: DataFrame, k: int, percent: int, frequent, cells: int) -> DataFrame:
-    """A row (doc_id, k, n, d1, d2) for each document, and rows (cell, blob) with the windows' entries."""
+    """A row (doc_id, k, n, d1, d2, pid, row) for each document, and rows (cell, blob) with the windows' entries.
+
+    pid and row are the document's place: its input partition, and its number there.
+    """
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
         known: set[int] = set()
-        hot = frequent.value
+        hot, pid, done = frequent.value, C.task(), 0
         for b in batches:
             row = 0
             for c in C.chunks(b.column("text"), lower=True):
@@ -152,12 +161,13 @@ def _nodes(texts: DataFrame, k: int, percent: int, frequent, cells: int) -> Data
                 none = lambda t, q=q: pa.nulls(q, t)
                 ids, keys = b.column("doc_id").slice(row, m), b.column("k").slice(row, m)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([ids, none(ids.type)]), pa.concat_arrays([keys, none(pa.int64())]), pa.concat_arrays([pa.array(size), none(pa.int64())]), pa.concat_arrays([pa.array(d1), none(pa.int64())]), pa.concat_arrays([pa.array(d2), none(pa.int64())]), pa.array([None] * m + some, pa.int64()), pa.array([None] * m + blobs, pa.binary())],
-                    ["doc_id", "k", "n", "d1", "d2", "cell", "blob"],
+                    [pa.concat_arrays([ids, none(ids.type)]), pa.concat_arrays([keys, none(pa.int64())]), pa.concat_arrays([pa.array(size), none(pa.int64())]), pa.concat_arrays([pa.array(d1), none(pa.int64())]), pa.concat_arrays([pa.array(d2), none(pa.int64())]), pa.concat_arrays([pa.array([pid] * m, pa.int64()), none(pa.int64())]), pa.concat_arrays([pa.array(np.arange(done, done + m)), none(pa.int64())]), pa.array([None] * m + some, pa.int64()), pa.array([None] * m + blobs, pa.binary())],
+                    ["doc_id", "k", "n", "d1", "d2", "pid", "row", "cell", "blob"],
                 )
                 row += m
+                done += m
 
-    return texts.mapInArrow(work, f"doc_id {kind}, k long, n long, d1 long, d2 long, cell long, blob binary")
+    return texts.mapInArrow(work, f"doc_id {kind}, k long, n long, d1 long, d2 long, pid long, row long, cell long, blob binary")
 
 
 def _shared_entries(cells: int):
@@ -345,14 +355,59 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect what is connected in any region. full: (d1, members); pairs: (p, d1, n); regions: (p, blocks, low)."""
+def _placed(texts: DataFrame, places: DataFrame, k: int, files: list[str]):
+    """A function that adds members to rows (d1, ...). places: (d1, pid, row); files: gets the folders that are written for it.
+
+    Only numbers are joined; the texts are cut into shingles by the tasks that read them.
+    """
+
+    def put(rows: DataFrame) -> DataFrame:
+        path, names = C.uri(C.fresh_dir(rows.sparkSession, "places")), rows.columns
+        C.write_told(C.materialise(rows).join(places, "d1").select("pid", "row", *names), path)
+        files.append(path)
+
+        def work(batches):
+            told = list(C.my_rows(path, ["row", *names]))
+            told = pa.concat_tables(told).sort_by("row").combine_chunks() if told else None
+            at = told.column("row").to_numpy() if told else np.zeros(0, np.int64)
+            done = 0
+            for b in batches:
+                low, high = np.searchsorted(at, [done, done + len(b)])
+                some, first = np.unique(at[low:high], return_index=True)
+                first = low + np.append(first, high - low)
+                for c in C.chunks(b.column("text").take(pa.array(some - done)), lower=True):
+                    g, cut = shingle_sets(c, k)
+                    begin, end = first[c.first], first[c.last]
+                    owner = np.repeat(np.arange(c.last - c.first), np.diff(first[c.first : c.last + 1]))
+                    if not np.array_equal(_digests(g, cut)[0][owner], told.column("d1").slice(begin, end - begin).to_numpy()):
+                        raise RuntimeError("a repeated scan gave another partition: its texts differ")
+                    sets = [g[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+                    part = np.cumsum(8 * np.diff(cut)[owner]) // BATCH_BYTES
+                    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(owner)]
+                    for i, j in zip(edges[:-1], edges[1:], strict=True):
+                        own = told.slice(begin + i, j - i).select(names).combine_chunks().to_batches()[0]
+                        yield pa.RecordBatch.from_arrays([*own.columns, pa.array([sets[x] for x in owner[i:j].tolist()], pa.binary())], [*names, "members"])
+                done += len(b)
+            if len(at) and at[-1] >= done:
+                raise RuntimeError(f"a repeated scan gave another partition: {done} rows, not {at[-1] + 1} or more")
+
+        return texts.mapInArrow(work, ", ".join(f"{c} {kind}" for c, kind in rows.dtypes) + ", members binary")
+
+    return put
+
+
+def _all_links(full, pairs: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what is connected in any region. pairs: (p, d1, n); regions: (p, blocks, low).
+
+    full: a function that adds members to rows (d1, ...), or (d1, members).
+    """
+    put = full if callable(full) else lambda rows: full.join(_small(rows), "d1")
     dealt = pairs.join(regions, "p")
     first = F.col("d1") == F.col("low")
     own = dealt.where(~first | (F.col("blocks") == 1)).withColumn("i", _block("blocks"))
     own = own.unionByName(dealt.where(first & (F.col("blocks") > 1)).withColumn("i", _every("blocks")))
     kind = "p long, a long, b long"
-    links = C.materialise(full.join(_small(own.select("p", "d1", "i")), "d1").groupBy("p", "i").applyInArrow(_region_links(percent), kind))
+    links = C.materialise(put(own.select("p", "d1", "i")).groupBy("p", "i").applyInArrow(_region_links(percent), kind))
     large = regions.where("blocks > 1")
     if not large.limit(1).count():
         return links.select("a", "b")
@@ -367,7 +422,7 @@ def _all_links(full: DataFrame, pairs: DataFrame, regions: DataFrame, percent: i
     late = late.unionByName(marked.where("far").select("p", "d1", "far", zero.alias("late"), _every("blocks").alias("i"), zero.alias("j")))
     among = marked.where("far").withColumn("x", _block("far_blocks")).withColumn("y", _every("far_blocks"))
     late = late.unionByName(among.select("p", "d1", "far", F.lit(1).alias("late"), F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
-    more = full.join(_small(late), "d1").groupBy("p", "late", "i", "j").applyInArrow(_late_links(percent), kind)
+    more = put(late).groupBy("p", "late", "i", "j").applyInArrow(_late_links(percent), kind)
     return links.select("a", "b").union(more.select("a", "b"))
 
 
@@ -380,7 +435,8 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
 
     component_id is the smallest doc_id that links lead to (a null doc_id counts as larger than any other), rep
     the (doc_id, k) of the row that stands for the component; k is a hash of the text. Texts without words
-    have no shingles, link with nothing and stand for themselves. Equal rows are two rows with one answer.
+    have no shingles, link with nothing and stand for themselves. Equal rows are two rows with one answer. docs is
+    scanned several times and must give the same partitions each time.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).withColumn("k", _text_key())
@@ -388,37 +444,30 @@ def near_copies(docs: DataFrame, shingle: int, percent: int, key: str = "doc_id"
     rows = texts.select(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     cells = max(64, math.ceil((rows[1] or 0) / 6.5 * 0.21 / ENTRIES_PER_CELL))
     scanned = C.materialise(_nodes(texts, shingle, percent, frequent, cells))
-    nodes = scanned.where("cell is null").drop("cell", "blob")
+    nodes = C.materialise(scanned.where("cell is null").drop("cell", "blob"))
     shared = scanned.where("cell is not null").select("cell", "blob").groupBy("cell").applyInArrow(_shared_entries(cells), "g long, d1 long, n long")
     shared = C.materialise(shared)
+    C.drop(scanned)
     # sets whose window occurs elsewhere often enough
     need = F.lit(1) + F.floor(F.lit(EXTRA) * F.ceil(F.col("n") * percent / 100))
     likely = shared.groupBy("d1").agg(F.count(F.lit(1)).alias("seen"), F.first("n").alias("n")).where(F.col("seen") >= need).select("d1")
     alive = C.materialise(shared.join(likely, "d1"))
+    C.drop(shared)
     # what is joined to a table is written first: the join then has shuffles of its own, whose hot keys Spark can split
     pivots = C.materialise(alive.groupBy("g").agg(F.min("d1").alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "p"))
     held = alive.join(pivots, "g").groupBy("p", "d1").agg(F.count(F.lit(1)).alias("w"), F.first("n").alias("n"))
     light = F.sum("w").over(W.partitionBy("d1").orderBy("w", "p"))
     pairs = C.materialise(held.withColumn("upto", light).where(2 * F.col("upto") > need - 1).select("p", "d1", "n"))
     regions = C.materialise(_regions(pairs).where("c > 1").select("p", "blocks", F.col("m").alias("low")))
+    C.drop(alive, pivots)
     # the sets of the documents in regions, from their texts
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "pid", "row")
     sets = nodes.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("rep"), F.max("n").alias("n"))
-    wanted = C.materialise(pairs.select("d1").distinct().join(sets, "d1").select("d1", "rep.doc_id", "rep.k"))
-    side = (F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted).select(F.col("d1"), F.col("doc_id").alias("_id"), F.col("k").alias("_k"))
-    found = texts.join(side, (texts.k == F.col("_k")) & texts.doc_id.eqNullSafe(F.col("_id"))).select("d1", "text")
-
-    def members(batches):
-        for b in batches:
-            row = 0
-            for c in C.chunks(b.column("text"), lower=True):
-                g, at = shingle_sets(c, shingle)
-                m = len(at) - 1
-                yield pa.RecordBatch.from_arrays([b.column("d1").slice(row, m), pa.array([g[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["d1", "members"])
-                row += m
-
-    full = C.materialise(found.mapInArrow(members, "d1 long, members binary"))
-    links = C.materialise(_all_links(full, pairs, regions, percent))
+    sets = sets.select("d1", "d2", F.struct("rep.none", "rep.doc_id", "rep.k").alias("rep"), F.struct("rep.pid", "rep.row").alias("place"))
+    files: list[str] = []
+    places = _small(pairs.select("d1").distinct().join(sets, "d1").select("d1", "place.pid", "place.row"))
+    links = C.materialise(_all_links(_placed(texts, places, shingle, files), pairs, regions, percent))
+    C.remove(spark, *files)
     roots = components(links)
     named = sets.join(roots.withColumnRenamed("node", "d1"), "d1", "left").withColumn("root", F.coalesce("root", "d1"))
     best = C.materialise(named.select("d1", "d2", "root", "rep"))

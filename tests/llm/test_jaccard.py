@@ -2,12 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 pytest.importorskip("quarry.llm")
-from quarry.llm import jaccard  # noqa: E402
+from quarry.llm import common, jaccard  # noqa: E402
 from quarry.llm.components import components  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -105,6 +106,33 @@ def test_large_regions_in_two_steps(spark):
         assert [got.find(i) for i in range(len(sets))] == want, blocks
 
 
+def test_texts_are_not_joined_and_steps_are_deleted(spark, monkeypatch):
+    """Beyond BROADCAST_ROWS no text goes through a shuffle, and what a step has read does not stay on disk."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(150):
+        t = [f"v{rng.randrange(10**6)}" for _ in range(400)]
+        rows += [(2 * i, " ".join(t), "en", "s", 1), (2 * i + 1, " ".join([*t, "end"]), "en", "s", 1)]
+    folder, plans, keep = Path(common.shared_dir(spark).removeprefix("file:")), [], common.materialise
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "materialise", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), keep(df))[1])
+    before = size()
+    got = {r.doc_id: r.component_id for r in jaccard.near_copies(spark.createDataFrame(rows, SCHEMA).repartition(3), 4, 85).collect()}
+    assert got == {i: i - i % 2 for i in range(300)}
+    assert any("Join" in p for p in plans) and not [p for p in plans if "Join" in p and "text#" in p]
+    entries = 20 * 300 * int(jaccard.window_sizes(np.array([397]), 85)[0][0])
+    assert size() - before < entries  # they alone were kept to the end
+
+
+def test_another_partition_is_refused(spark):
+    texts = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string").coalesce(1)
+    for row, said in ((0, "texts differ"), (1, "rows, not")):
+        put = jaccard._placed(texts, spark.createDataFrame([(5, 0, row)], "d1 long, pid long, row long"), 4, [])
+        with pytest.raises(Exception, match=said):
+            put(spark.createDataFrame([(5, 7)], "d1 long, p long")).collect()
+
+
 def test_keep_one(spark):
     rows = corpus(9, 60)
     want = slow(rows, 5, 80)
